@@ -24,7 +24,7 @@ from reviewlab.plans.compare import compare_feature_sets, training_rows
 from reviewlab.plans.featurize import COMMON, Tokens, featurize_table, tokens_of
 from reviewlab.scratch import fresh_path, stage
 from reviewlab.sources import delimited, manifest
-from reviewlab.sources.tables import labelled_reviews, table, unchecked_reviews
+from reviewlab.sources.tables import labelled_reviews, table, text_table, unchecked_reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,14 +174,14 @@ def audit_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str, **columns) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return text_table(spark, sf_dir, "documents").select(
         "doc_id", *(c.alias(name) for name, c in columns.items())
     )
 
 
 def strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     stripped = text.strip_tags(F.col("html")).alias("stripped")
-    return table(spark, sf_dir, "pages").select("page_id", stripped)
+    return text_table(spark, sf_dir, "pages").select("page_id", stripped)
 
 
 def letters_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,10 +198,10 @@ def lowercase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pages alike."""
-    pages = table(spark, sf_dir, "pages").select(
+    pages = text_table(spark, sf_dir, "pages").select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("raw")
     )
-    documents = table(spark, sf_dir, "documents").select(
+    documents = text_table(spark, sf_dir, "documents").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("raw")
     )
     return documents.union(pages).select(
@@ -327,11 +327,13 @@ def _hashed_reviews(spark: SparkSession, sf_dir: str) -> tuple[Tokens, DataFrame
     tokens = tokens_of(labelled_reviews(spark, sf_dir))
     labelled = tokens.label_index.transform(tokens.table.drop("review"))
     counted = features.hashing_tf(output="features").transform(labelled)
-    return tokens, training_rows(counted)
+    return tokens, training_rows(counted, tokens.measured["complete"])
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir, is_train=in_train(F.col("doc_id")))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", in_train(F.col("doc_id")).alias("is_train")
+    )
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,7 +389,7 @@ def compare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hygiene.scan_lines(table(spark, sf_dir, "documents"), ["doc_id"])
+    return hygiene.scan_lines(text_table(spark, sf_dir, "documents"), ["doc_id"])
 
 
 def language_scan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,7 +401,7 @@ def language_scan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def language_scan_german(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scan for another language, in which whole words decide more often."""
-    documents = table(spark, sf_dir, "documents")
+    documents = text_table(spark, sf_dir, "documents")
     return hygiene.scan_lines(
         documents, ["doc_id"], letters=GERMAN_LETTERS, patterns=GERMAN_WORDS
     )

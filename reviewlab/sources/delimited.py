@@ -49,6 +49,11 @@ def read_reviews(
     )
 
 
+def header_of(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The columns as the file names them, for a check before the scan; reads one line."""
+    return spark.read.csv(path if isinstance(path, str) else list(path), header=True, escape='"')
+
+
 def write_reviews(df: DataFrame, path: str) -> None:
     """The form ``read_reviews`` reads back unchanged."""
     df.write.csv(path, header=True, quoteAll=True, escape='"')

@@ -45,6 +45,7 @@ def file_manifest(
 ) -> DataFrame:
     """SHA-256 of every file under ``path``, whatever its size.
 
+    File sources pass over files of no bytes, so an empty file counts as missing.
     Small files go through ``sha2(content)``. The size filter reaches the reader,
     so a larger file is never loaded there: it is hashed chunk by chunk in the
     task that gets its path, spread over ``tasks`` tasks.

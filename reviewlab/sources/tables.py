@@ -18,6 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(under(sf_dir, f"{name}.parquet"))
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose texts are about to be worked on, see ``spread``."""
+    return spread(table(spark, sf_dir, name))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a small scan over all cores; a scan with a split per core is left alone.
+
+    A file of one row group is one task however many cores there are. Fewer splits
+    than cores means less than ``spark.sql.files.maxPartitionBytes`` per core, so
+    what is exchanged here is bounded by that and never grows with the data.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def sentiment_of(quality: Column) -> Column:
     return F.when(quality == 1, "positive").when(quality.isNotNull(), "negative")
 
@@ -25,7 +41,7 @@ def sentiment_of(quality: Column) -> Column:
 def labelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``review_id, review, sentiment`` for every labelled document."""
     return (
-        table(spark, sf_dir, "documents")
+        text_table(spark, sf_dir, "documents")
         .join(table(spark, sf_dir, "labels"), "doc_id")
         .select(
             F.col("doc_id").alias("review_id"),

@@ -1,0 +1,81 @@
+"""Each query against its SQL on the smallest tables, and what all of them have in common."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_point
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+SQL = entry_point.oracle_sql()
+# Learned values and file listings: these have no SQL.
+ROWS_ONLY = {
+    "file_manifest": 14,
+    "file_scope": 14,
+    "random_split": 2,
+    "lr_fit": 251,
+    "cv_grid": 3,
+    "lr_predict": 87,
+    "train_eval_htf": 1,
+    "compare_features": 3,
+    "w2v_doc_vectors": 87 * 250,
+}
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"create view {name} as from '{sf_dir}/{name}.parquet'")
+    yield connection
+    connection.close()
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda row: tuple((v is not None, str(v)) for v in row))
+
+
+def test_every_query_is_checked_one_way():
+    assert set(SQL) | set(ROWS_ONLY) == set(entry_point.queries())
+    assert not set(SQL) & set(ROWS_ONLY)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_same_values_as_sql(spark, duck, sf_dir, name):
+    df = entry_point.queries()[name](spark, sf_dir)
+    columns = sorted(df.columns)
+    cursor = duck.execute(SQL[name])
+    found = [c[0] for c in cursor.description]
+    assert sorted(found) == columns
+    order = [found.index(c) for c in columns]
+    want = ordered(tuple(row[i] for i in order) for row in cursor.fetchall())
+    assert ordered(tuple(r) for r in df.select(*columns).collect()) == want
+
+
+@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
+def test_row_counts(spark, sf_dir, name):
+    assert entry_point.queries()[name](spark, sf_dir).count() == ROWS_ONLY[name]
+
+
+def test_entry(spark):
+    (row,) = entry_point.entry(spark).collect()
+    assert row["feature_name"] == "HTFfeaturizedData" and 0 <= row["accuracy"] <= 100
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        *("content_digest", "strip_html", "letters_only", "collapse_spaces", "lowercase"),
+        *("clean_text", "tokenize", "remove_stopwords", "clean_tokens", "hash_split"),
+        *("language_scan", "language_scan_report", "null_report", "domain_violations"),
+        *("manifest_verify", "incremental_files", "class_balance", "run_audit", "w2v_vocab"),
+    ],
+)
+def test_plans_stay_in_the_jvm_and_never_cross(spark, sf_dir, name):
+    plan = entry_point.queries()[name](spark, sf_dir)._jdf.queryExecution().toString()
+    for unwanted in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
+        assert unwanted not in plan
