@@ -21,7 +21,7 @@ from reviewlab.functions import text, vectors
 from reviewlab.functions.keys import in_train
 from reviewlab.operators import audit, features, hygiene, models
 from reviewlab.plans.compare import compare_feature_sets, training_rows
-from reviewlab.plans.featurize import COMMON, Tokens, featurize_table, tokens_of
+from reviewlab.plans.featurize import COMMON, Tokens, feature_sets, hashed_counts, tokens_of
 from reviewlab.scratch import fresh_path, stage
 from reviewlab.sources import delimited, manifest
 from reviewlab.sources.tables import labelled_reviews, table, text_table, unchecked_reviews
@@ -289,9 +289,9 @@ def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three tables in one shape: the same columns, rows and dimensions."""
-    built = featurize_table(labelled_reviews(spark, sf_dir))
+    built = feature_sets(tokens_of(labelled_reviews(spark, sf_dir)))
     shaped = [
-        df.select(F.lit(name).alias("feature_set"), *COMMON) for name, df in built.tables.items()
+        one.table.select(F.lit(name).alias("feature_set"), *COMMON) for name, one in built.items()
     ]
     together = shaped[0].unionByName(shaped[1]).unionByName(shaped[2])
     return together.groupBy("feature_set", "sentiment", "label").agg(
@@ -304,13 +304,12 @@ def feature_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def featurize_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and non-zero cells per feature set; scaled word vectors are dense, so no cell count."""
-    built = featurize_table(labelled_reviews(spark, sf_dir))
     parts = []
-    for name, df in built.tables.items():
+    for name, one in feature_sets(tokens_of(labelled_reviews(spark, sf_dir))).items():
         dense = name == sinks.WORD_VECTORS
         cells = F.lit(None).cast("bigint") if dense else F.sum(vectors.nonzeros("features"))
         parts.append(
-            df.agg(
+            one.table.agg(
                 F.lit(name).alias("feature_set"),
                 F.count("features").alias("row_count"),
                 cells.alias("nonzeros"),
@@ -325,9 +324,7 @@ def featurize_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _hashed_reviews(spark: SparkSession, sf_dir: str) -> tuple[Tokens, DataFrame]:
     """Key, label and hashed counts of the labelled reviews, from stored words."""
     tokens = tokens_of(labelled_reviews(spark, sf_dir))
-    labelled = tokens.label_index.transform(tokens.table.drop("review"))
-    counted = features.hashing_tf(output="features").transform(labelled)
-    return tokens, training_rows(counted, tokens.measured["complete"])
+    return tokens, training_rows(hashed_counts(tokens).table, tokens.measured["complete"])
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,8 +378,8 @@ def train_eval_htf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = featurize_table(labelled_reviews(spark, sf_dir))
-    return models.result_rows(spark, compare_feature_sets(built))
+    tokens = tokens_of(labelled_reviews(spark, sf_dir))
+    return models.result_rows(spark, compare_feature_sets(tokens))
 
 
 # --- language scan -----------------------------------------------------------------------------

@@ -36,7 +36,7 @@ MAX_MATRIX_CELLS = 1 << 28
 # One training task takes about this many words; the number follows from the data
 # and not from the cluster. Every further task adds a copy of the changed vectors
 # to each round's exchange, hence the upper bound.
-WORDS_PER_TASK = 150_000
+WORDS_PER_TASK = 200_000
 MAX_TASKS = 4096
 
 

@@ -183,14 +183,16 @@ def scan_files(
 ) -> DataFrame:
     """``path, line_no, kind, content`` over a tree of text files.
 
-    Line numbers need a file in one piece, so this suits source trees. Names are
-    filtered before contents are read; files that are not UTF-8 are passed over.
+    Line numbers need a file in one piece, so this suits source trees; Spark refuses
+    a file of 2 GB. The filter on names prunes the file list, so other files are not
+    opened. Files that are not UTF-8 are passed over.
     """
+    name = F.col("_metadata.file_name")
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path if isinstance(path, str) else list(path))
-        .where(in_scope(F.col("path"), suffixes=suffixes, names=names, excluded=excluded))
+        .where(in_scope(name, suffixes=suffixes, names=names, excluded=excluded))
         .where(F.is_valid_utf8(F.col("content").cast("string")))
         .select("path", F.col("content").cast("string").alias("text"))
     )

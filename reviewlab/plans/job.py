@@ -18,8 +18,8 @@ from reviewlab import sinks
 from reviewlab.config import ConfigError, RunConfig, resolve
 from reviewlab.contracts import ContractError
 from reviewlab.operators.audit import audit_of
-from reviewlab.plans.compare import compare_feature_sets
-from reviewlab.plans.featurize import featurize
+from reviewlab.plans.compare import FeaturesFailed, compare_feature_sets
+from reviewlab.plans.featurize import read_tokens
 
 log = logging.getLogger("reviewlab.job")
 
@@ -47,21 +47,24 @@ def new_session() -> SparkSession:
 def run(
     spark: SparkSession, config: RunConfig, *, multi_line: bool = False, fit_scope: str = "all"
 ) -> int:
-    """Features, then models, then the audit records; returns the exit code."""
+    """Tokens, then features and models, then the audit records; returns the exit code."""
     try:
-        built = featurize(spark, config, multi_line=multi_line, fit_scope=fit_scope)
+        tokens = read_tokens(spark, config, multi_line=multi_line, fit_scope=fit_scope)
     except ContractError:
         log.exception("run %s: the input breaks its contract", config.run_id)
         return BAD_INPUT
     except Exception:
-        log.exception("run %s: no features", config.run_id)
+        log.exception("run %s: no tokens", config.run_id)
         return NO_FEATURES
-    log.info("run %s: %s", config.run_id, built.measured)
+    log.info("run %s: %s", config.run_id, tokens.measured)
     try:
-        results = compare_feature_sets(built, config=config)
-        measured = dict(built.measured)
+        results = compare_feature_sets(tokens, config=config)
+        measured = dict(tokens.measured)
         measured.update({f"accuracy.{r.feature_name}": r.accuracy for r in results})
         sinks.append_audit(audit_of(spark, measured, config.run_id).coalesce(1), config)
+    except FeaturesFailed:
+        log.exception("run %s: no features", config.run_id)
+        return NO_FEATURES
     except Exception:
         log.exception("run %s: no models", config.run_id)
         return NO_MODELS

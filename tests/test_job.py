@@ -8,6 +8,7 @@ from reviewlab import sinks
 from reviewlab.config import RunConfig
 from reviewlab.operators.audit import read_audit
 from reviewlab.plans import job
+from reviewlab.plans.compare import FeaturesFailed
 from reviewlab.sources.delimited import write_reviews
 
 
@@ -52,11 +53,18 @@ def test_failed_training_gives_no_models(spark, tmp_path, monkeypatch):
     def fail(*_, **__):
         raise RuntimeError("training")
 
-    monkeypatch.setattr(job, "featurize", lambda *_, **__: type("B", (), {"measured": {}}))
+    tokens = type("Tokens", (), {"measured": {}})
+    monkeypatch.setattr(job, "read_tokens", lambda *_, **__: tokens)
     monkeypatch.setattr(job, "compare_feature_sets", fail)
     config = RunConfig("in", str(tmp_path / "out"), "r", persist=False)
     assert job.run(spark, config) == job.NO_MODELS
 
+    def fail_earlier(*_, **__):
+        raise FeaturesFailed("features")
+
+    monkeypatch.setattr(job, "compare_feature_sets", fail_earlier)
+    assert job.run(spark, config) == job.NO_FEATURES
+
 
 class Stoppable:
     stopped = False
