@@ -78,9 +78,14 @@ def idf_rows(df: DataFrame, model: IDFModel) -> DataFrame:
 
 
 def word_counts(df: DataFrame, words: str = "filtered") -> DataFrame:
-    """Occurrences of each word. Summed map-side, so a frequent word is one row per task."""
+    """Occurrences of each word. Summed map-side, so a frequent word is one row per task.
+
+    A plain ``explode`` makes Catalyst test the word list for emptiness first, and
+    where the list is computed that computes it once more; the outer form does not.
+    """
     return (
-        df.select(F.explode(words).alias("word"))
+        df.select(F.explode_outer(words).alias("word"))
+        .where(F.col("word").isNotNull())
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )

@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 from reviewlab import sinks
 from reviewlab.config import ConfigError, RunConfig, resolve
 from reviewlab.contracts import ContractError
+from reviewlab.operators import features
 from reviewlab.operators.audit import audit_of
 from reviewlab.plans.compare import FeaturesFailed, compare_feature_sets
 from reviewlab.plans.featurize import read_tokens
@@ -34,6 +35,19 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--no-persist", action="store_true", help="write no results")
     parser.add_argument("--multi-line", action="store_true", help="texts hold quoted newlines")
     parser.add_argument("--fit-scope", default="all", choices=["all", "train"])
+    parser.add_argument(
+        "--min-count",
+        type=int,
+        default=features.MIN_COUNT,
+        help="occurrences a word needs to get a vector; raise it where the vocabulary is too large",
+    )
+    parser.add_argument("--vector-size", type=int, default=features.VECTOR_SIZE)
+    parser.add_argument(
+        "--max-matrix-cells",
+        type=int,
+        default=features.MAX_MATRIX_CELLS,
+        help="vocabulary x vector size that driver and executors can hold",
+    )
     parser.add_argument(
         "--log-level", default="INFO", choices=["DEBUG", "INFO", "WARNING", "ERROR"]
     )
@@ -45,7 +59,12 @@ def new_session() -> SparkSession:
 
 
 def run(
-    spark: SparkSession, config: RunConfig, *, multi_line: bool = False, fit_scope: str = "all"
+    spark: SparkSession,
+    config: RunConfig,
+    *,
+    multi_line: bool = False,
+    fit_scope: str = "all",
+    word2vec: dict | None = None,
 ) -> int:
     """Tokens, then features and models, then the audit records; returns the exit code."""
     try:
@@ -58,7 +77,7 @@ def run(
         return NO_FEATURES
     log.info("run %s: %s", config.run_id, tokens.measured)
     try:
-        results = compare_feature_sets(tokens, config=config)
+        results = compare_feature_sets(tokens, config=config, word2vec=word2vec)
         measured = dict(tokens.measured)
         measured.update({f"accuracy.{r.feature_name}": r.accuracy for r in results})
         sinks.append_audit(audit_of(spark, measured, config.run_id).coalesce(1), config)
@@ -94,7 +113,17 @@ def main(
         log.exception("run %s: no Spark session", config.run_id)
         return NO_SESSION
     try:
-        return run(spark, config, multi_line=args.multi_line, fit_scope=args.fit_scope)
+        return run(
+            spark,
+            config,
+            multi_line=args.multi_line,
+            fit_scope=args.fit_scope,
+            word2vec={
+                "min_count": args.min_count,
+                "vector_size": args.vector_size,
+                "max_matrix_cells": args.max_matrix_cells,
+            },
+        )
     finally:
         spark.stop()
 
