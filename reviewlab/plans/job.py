@@ -34,6 +34,7 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--run-id", help="name of this run; a fresh one if not given")
     parser.add_argument("--no-persist", action="store_true", help="write no results")
     parser.add_argument("--multi-line", action="store_true", help="texts hold quoted newlines")
+    parser.add_argument("--slim", action="store_true", help="store features without the texts")
     parser.add_argument("--fit-scope", default="all", choices=["all", "train"])
     parser.add_argument(
         "--min-count",
@@ -65,6 +66,7 @@ def run(
     multi_line: bool = False,
     fit_scope: str = "all",
     word2vec: dict | None = None,
+    slim: bool = False,
 ) -> int:
     """Tokens, then features and models, then the audit records; returns the exit code."""
     try:
@@ -77,7 +79,7 @@ def run(
         return NO_FEATURES
     log.info("run %s: %s", config.run_id, tokens.measured)
     try:
-        results = compare_feature_sets(tokens, config=config, word2vec=word2vec)
+        results = compare_feature_sets(tokens, config=config, word2vec=word2vec, slim=slim)
         measured = dict(tokens.measured)
         measured.update({f"accuracy.{r.feature_name}": r.accuracy for r in results})
         sinks.append_audit(audit_of(spark, measured, config.run_id).coalesce(1), config)
@@ -118,6 +120,7 @@ def main(
             config,
             multi_line=args.multi_line,
             fit_scope=args.fit_scope,
+            slim=args.slim,
             word2vec={
                 "min_count": args.min_count,
                 "vector_size": args.vector_size,

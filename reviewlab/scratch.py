@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +24,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="reviewlab-")
-    spark.conf.set(SETTING, own)
-    return own
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"reviewlab-{application}-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -36,6 +36,14 @@ def test_whole_run(spark, raw, tmp_path):
     assert {s for e, s in rows if e == "accuracy"} == set(sinks.FEATURE_SETS)
 
 
+def test_slim_run_stores_no_texts(spark, raw, tmp_path):
+    config = RunConfig(raw, str(tmp_path / "out"), "run-2", persist=True)
+    assert job.run(spark, config, slim=True, word2vec={"vector_size": 4}) == job.OK
+    for name in sinks.FEATURE_SETS:
+        stored = spark.read.parquet(f"{config.features_root}/{name}")
+        assert set(stored.columns) == {"review_id", "sentiment", "label", "features"}
+
+
 def test_wrong_header_and_wrong_label_break_the_contract(spark, tmp_path):
     for name, content in {"h": "txt,lab\na,positive\n", "l": "review,sentiment\na,neutral\n"}.items():
         (tmp_path / name).mkdir()

@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from reviewlab import scratch
 from reviewlab.contracts import REVIEWS, ContractError
 from reviewlab.scratch import fresh_path, shared_folder, stage
 from reviewlab.sources import manifest
@@ -137,6 +138,20 @@ def test_shared_folder_comes_from_the_session(spark):
     )
 
 
+def test_own_folder_on_a_local_master_only(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "SETTING", "reviewlab.not.set")
+    own = shared_folder(spark)
+    assert shared_folder(spark) == own != spark.conf.get("spark.checkpoint.dir")
+    assert stage(spark.range(3), "x").count() == 3
+
+    class OnCluster:
+        conf = spark.conf
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="every executor"):
+        shared_folder(OnCluster)
+
+
 def test_only_small_scans_are_spread(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     assert documents.rdd.getNumPartitions() < 4
