@@ -7,7 +7,7 @@ these short rows are ever joined, never the content.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs
@@ -61,27 +61,36 @@ def file_manifest(
         files.where(F.col("length") > whole_file_bytes)
         .select("path", "length")
         .repartition(tasks or spark.sparkContext.defaultParallelism, "path")
-        .mapInArrow(_hash_files, MANIFEST_DDL)
+        .mapInArrow(_chunk_hasher(CHUNK_BYTES), MANIFEST_DDL)
     )
     return small.unionByName(large)
 
 
-def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        digests = [_hash_one(path) for path in batch.column("path").to_pylist()]
-        columns = [batch.column("path"), batch.column("length"), pa.array(digests, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["path", "length", "digest"])
+def _chunk_hasher(
+    chunk_bytes: int,
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task side of ``file_manifest``; travels by value, so workers need not have this package."""
 
+    def hash_one(path: str) -> str:
+        # Hadoop prints local paths as file:/x and calls S3 s3a; Arrow wants file:///x and s3.
+        if "://" not in path:
+            path = path.replace("file:/", "file:///", 1)
+        source, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        digest = hashlib.sha256()
+        with source.open_input_stream(name) as stream:
+            while chunk := stream.read(chunk_bytes):
+                digest.update(chunk)
+        return digest.hexdigest()
 
-def _hash_one(path: str) -> str:
-    # Hadoop prints local paths as file:/x, Arrow wants file:///x.
-    uri = path if "://" in path else path.replace("file:/", "file:///", 1)
-    source, name = fs.FileSystem.from_uri(uri)
-    digest = hashlib.sha256()
-    with source.open_input_stream(name) as stream:
-        while chunk := stream.read(CHUNK_BYTES):
-            digest.update(chunk)
-    return digest.hexdigest()
+    def hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, lengths = batch.column("path"), batch.column("length")
+            digests = pa.array([hash_one(p) for p in paths.to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [paths, lengths, digests], ["path", "length", "digest"]
+            )
+
+    return hash_files
 
 
 def verify(expected: DataFrame, actual: DataFrame, *, check_digest: bool = True) -> DataFrame:
@@ -113,10 +122,16 @@ def all_valid(expected: DataFrame, actual: DataFrame, *, check_digest: bool = Tr
 
 
 def pending(offered: DataFrame, loaded: DataFrame, *, force: bool = False) -> DataFrame:
-    """Offered entries not loaded yet with the same content; all of them when forced."""
+    """Offered entries not loaded yet with the same content; all of them when forced.
+
+    Digests compare null-safe: an entry without content is loaded once like any
+    other, and no test for null makes Spark take a digest twice.
+    """
     if force:
         return offered
-    return offered.join(loaded.select("path", "digest"), ["path", "digest"], "left_anti")
+    known = loaded.select(F.col("path").alias("known"), F.col("digest").alias("known_digest"))
+    same = (F.col("path") == F.col("known")) & F.col("digest").eqNullSafe(F.col("known_digest"))
+    return offered.join(known, same, "left_anti")
 
 
 def load_pending(

@@ -23,47 +23,17 @@ def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(table(spark, sf_dir, name))
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a small scan over all cores; a scan with a split per core is left alone.
-
-    A file of one row group is one task however many cores there are. Fewer splits
-    than cores means less than ``spark.sql.files.maxPartitionBytes`` per core, so
-    what is exchanged here is bounded by that and never grows with the data.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
+# What may be spread over all cores: up to this many splits, 8 GB at Spark's default size.
+SMALL_SPLITS = 64
 
-def sentiment_of(quality: Column) -> Column:
-    return F.when(quality == 1, "positive").when(quality.isNotNull(), "negative")
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a small scan over all cores; any other scan is left alone.
 
-def labelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``review_id, review, sentiment`` for every labelled document."""
-    return (
-        text_table(spark, sf_dir, "documents")
-        .join(table(spark, sf_dir, "labels"), "doc_id")
-        .select(
-            F.col("doc_id").alias("review_id"),
-            F.col("text").alias("review"),
-            sentiment_of(F.col("quality")).alias("sentiment"),
-        )
-    )
-
-
-def unchecked_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as it might arrive: with nulls, and with a label outside the contract.
-
-    Unlabelled documents have no sentiment, toxic ones are labelled ``toxic``,
-    and German texts are missing.
+    A file of one row group is one task however many cores there are. Only a scan
+    of fewer splits than cores, and of no more than ``SMALL_SPLITS``, is exchanged,
+    so what this moves is bounded and never grows with the data.
     """
-    sentiment = F.when(F.col("toxic") == 1, "toxic").otherwise(sentiment_of(F.col("quality")))
-    return (
-        table(spark, sf_dir, "documents")
-        .join(table(spark, sf_dir, "labels"), "doc_id", "left")
-        .select(
-            F.col("doc_id").alias("review_id"),
-            F.when(F.col("lang") != "de", F.col("text")).alias("review"),
-            sentiment.alias("sentiment"),
-        )
-    )
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    small = scan.rdd.getNumPartitions() < min(cores, SMALL_SPLITS + 1)
+    return scan.repartition(cores) if small else scan

@@ -99,6 +99,9 @@ def test_pending(spark):
     loaded = spark.createDataFrame([("a", 1, "aa"), ("b", 1, "b1")], MANIFEST)
     assert {r["path"] for r in manifest.pending(offered, loaded).collect()} == {"b", "c"}
     assert manifest.pending(offered, loaded, force=True).count() == 3
+    empty = spark.createDataFrame([("a", None, None)], MANIFEST)
+    assert manifest.pending(empty, empty).isEmpty()
+    assert manifest.pending(empty, loaded).count() == 1
 
 
 def test_load_is_idempotent_and_follows_changes(spark, tmp_path):
@@ -158,3 +161,10 @@ def test_only_small_scans_are_spread(spark, sf_dir):
     assert spread(documents).rdd.getNumPartitions() == 4
     wide = spark.range(0, 100, 1, 8)
     assert spread(wide) is wide
+
+
+def test_spreading_is_bounded_however_many_cores(spark, monkeypatch):
+    monkeypatch.setattr("reviewlab.sources.tables.SMALL_SPLITS", 1)
+    two = spark.range(0, 100, 1, 2)
+    assert spread(two) is two
+    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 4
