@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from reviewlab import sinks
 from reviewlab.config import ConfigError, RunConfig, resolve
@@ -21,6 +22,7 @@ from reviewlab.operators import features
 from reviewlab.operators.audit import audit_of
 from reviewlab.plans.compare import FeaturesFailed, compare_feature_sets
 from reviewlab.plans.featurize import read_tokens
+from reviewlab.sources.manifest import text_digest
 
 log = logging.getLogger("reviewlab.job")
 
@@ -34,6 +36,13 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--run-id", help="name of this run; a fresh one if not given")
     parser.add_argument("--no-persist", action="store_true", help="write no results")
     parser.add_argument("--multi-line", action="store_true", help="texts hold quoted newlines")
+    parser.add_argument(
+        "--split-on",
+        default="row",
+        choices=["row", "text"],
+        help="row: by position in the files; text: by content, the same on any layout, "
+        "copies stay on one side",
+    )
     parser.add_argument("--slim", action="store_true", help="store features without the texts")
     parser.add_argument("--fit-scope", default="all", choices=["all", "train"])
     parser.add_argument(
@@ -65,12 +74,14 @@ def run(
     *,
     multi_line: bool = False,
     fit_scope: str = "all",
+    split_on: str = "row",
     word2vec: dict | None = None,
     slim: bool = False,
 ) -> int:
     """Tokens, then features and models, then the audit records; returns the exit code."""
     try:
-        tokens = read_tokens(spark, config, multi_line=multi_line, fit_scope=fit_scope)
+        key = text_digest(F.col("review")) if split_on == "text" else None
+        tokens = read_tokens(spark, config, multi_line=multi_line, key=key, fit_scope=fit_scope)
     except ContractError:
         log.exception("run %s: the input breaks its contract", config.run_id)
         return BAD_INPUT
@@ -120,6 +131,7 @@ def main(
             config,
             multi_line=args.multi_line,
             fit_scope=args.fit_scope,
+            split_on=args.split_on,
             slim=args.slim,
             word2vec={
                 "min_count": args.min_count,

@@ -7,6 +7,7 @@ from pyspark.ml import PipelineModel
 from reviewlab import sinks
 from reviewlab.config import RunConfig
 from reviewlab.operators.audit import read_audit
+from reviewlab.operators.models import split_by_key
 from reviewlab.plans import job
 from reviewlab.plans.compare import FeaturesFailed
 from reviewlab.sources.delimited import write_reviews
@@ -44,6 +45,22 @@ def test_slim_run_stores_no_texts(spark, raw, tmp_path):
         assert set(stored.columns) == {"review_id", "sentiment", "label", "features"}
 
 
+def test_split_on_text_is_the_same_on_any_layout(spark, tmp_path):
+    sides = []
+    for files in (1, 5):
+        folder = tmp_path / f"raw{files}"
+        reviews = made_reviews(spark).select("review", "sentiment").repartition(files)
+        write_reviews(reviews, str(folder / "dataset.csv"))
+        config = RunConfig(str(folder), str(tmp_path / f"out{files}"), "r", persist=True)
+        assert job.run(spark, config, split_on="text", slim=True, word2vec={"vector_size": 2}) == 0
+        stored = spark.read.parquet(f"{config.features_root}/{sinks.TFIDF}")
+        train, _ = split_by_key(stored, "review_id")
+        accuracies = read_audit(spark, config.audit_path).where("event = 'accuracy'")
+        found = accuracies.where(f"subject = '{sinks.TFIDF}'").first()["value"]
+        sides.append((sorted(r["review_id"] for r in train.collect()), found))
+    assert sides[0] == sides[1]
+
+
 def test_wrong_header_and_wrong_label_break_the_contract(spark, tmp_path):
     for name, content in {"h": "txt,lab\na,positive\n", "l": "review,sentiment\na,neutral\n"}.items():
         (tmp_path / name).mkdir()
