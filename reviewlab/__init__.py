@@ -1,3 +1,3 @@
-"""Text classification on Spark: audited input, shared tokens, three feature sets, compared models."""
+"""Text classification on Spark: audited input, three feature sets, compared models."""
 
 __all__ = ["config", "contracts", "functions", "operators", "plans", "scratch", "sinks", "sources"]

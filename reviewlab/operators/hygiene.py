@@ -120,7 +120,8 @@ def finding_kind(
     takes for a letter.
     """
     words = f"(?iu)(?<!{WORD_CHAR})(?:{'|'.join(patterns)})(?!{WORD_CHAR})"
-    return F.when(line.rlike(f"[{letters}]"), "diacritic").when(line.rlike(words), "keyword")
+    marked = rf"[\Q{letters}\E]"
+    return F.when(line.rlike(marked), "diacritic").when(line.rlike(words), "keyword")
 
 
 def scan_lines(

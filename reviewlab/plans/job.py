@@ -11,6 +11,7 @@ import logging
 import sys
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import astuple
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -101,7 +102,7 @@ def run(
         log.exception("run %s: no models", config.run_id)
         return NO_MODELS
     for r in results:
-        log.info("run %s: %s %s %.2f%%", config.run_id, r.classifier_name, r.feature_name, r.accuracy)
+        log.info("run %s: %s on %s: %.2f%%", config.run_id, *astuple(r))
     return OK
 
 

@@ -69,7 +69,7 @@ def file_manifest(
 def _chunk_hasher(
     chunk_bytes: int,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The task side of ``file_manifest``; travels by value, so workers need not have this package."""
+    """The task side of ``file_manifest``; travels by value, so workers need no package."""
 
     def hash_one(path: str) -> str:
         # Hadoop prints local paths as file:/x and calls S3 s3a; Arrow wants file:///x and s3.
@@ -100,7 +100,9 @@ def verify(expected: DataFrame, actual: DataFrame, *, check_digest: bool = True)
     Nothing is deleted, so the caller decides what a mismatch means.
     """
     wanted = expected.select("path", F.lower("digest").alias("expected_digest"))
-    found = actual.select("path", F.col("digest").alias("actual_digest"), F.lit(True).alias("found"))
+    found = actual.select(
+        "path", F.col("digest").alias("actual_digest"), F.lit(True).alias("found")
+    )
     unchecked = F.col("expected_digest").isNull() if check_digest else F.lit(True)
     status = (
         F.when(F.col("found").isNull(), "missing")

@@ -77,7 +77,11 @@ def test_audit_rows_carry_the_run(spark):
     df = spark.createDataFrame(NULLS, DDL)
     named = audit.counts(["review"])
     got = {tuple(r) for r in audit.audit_rows(df, named, "r1").collect()}
-    assert got == {("r1", "rows", "", 4.0), ("r1", "complete", "", 2.0), ("r1", "nulls", "review", 2.0)}
+    assert got == {
+        ("r1", "rows", "", 4.0),
+        ("r1", "complete", "", 2.0),
+        ("r1", "nulls", "review", 2.0),
+    }
     measured = audit.one_row(df, named).first().asDict()
     assert {tuple(r) for r in audit.audit_of(spark, measured, "r1").collect()} == got
 

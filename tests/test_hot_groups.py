@@ -21,10 +21,9 @@ def hot(spark):
     """Every third row is the same text under the same bad label."""
     same = F.col("id") % 3 == 0
     label = F.when(same, "junk").when(F.col("id") % 3 == 1, "positive").otherwise("negative")
+    body = F.when(same, "copied words\nnao sei").otherwise(F.concat(F.lit("word no "), "id"))
     return spark.range(0, ROWS, 1, 6).select(
-        F.col("id").alias("review_id"),
-        F.when(same, "copied words\nnao sei").otherwise(F.concat(F.lit("word no "), "id")).alias("review"),
-        label.alias("sentiment"),
+        F.col("id").alias("review_id"), body.alias("review"), label.alias("sentiment")
     )
 
 

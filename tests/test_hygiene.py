@@ -29,7 +29,7 @@ def expected(texts, **options):
 
 # One text per pattern: a phrase it stands for, with plain spaces.
 EXAMPLES = [
-    p.replace("s?", "s").replace(r"\s+", "  ").replace("(segunda|terca|quarta|quinta|sexta)", "quinta")
+    re.sub(r"\(.*\|(\w+)\)", r"\1", p.replace("s?", "s").replace(r"\s+", "  "))
     for p in hygiene.WORD_PATTERNS
 ]
 
@@ -56,6 +56,12 @@ def test_words_are_whole_and_lines_have_one_finding(spark):
     assert scanned(spark, texts) == expected(texts)
 
 
+def test_letters_are_taken_literally(spark):
+    texts = ["a]b", "a^b", "a-b", "plain", "b"]
+    options = {"letters": "^-]", "patterns": ("plain",)}
+    assert scanned(spark, texts, **options) == expected(texts, **options)
+
+
 def test_whole_tables_as_by_hand(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     options = {"letters": "äöüßÄÖÜ", "patterns": (r"und", r"nicht", r"d(er|ie|as)\s+\w+")}
@@ -76,7 +82,10 @@ def test_report_and_summary(spark):
     assert hygiene.is_clean(found.limit(0))
 
 
-NAMES = ["a.py", "b.txt", ".py", "c.tar.md", "Makefile", "makefile", "self.py", "d.", "e.tfvars.example"]
+NAMES = [
+    *("a.py", "b.txt", ".py", "c.tar.md", "Makefile", "makefile", "self.py", "d."),
+    "e.tfvars.example",
+]
 
 
 def test_scope_by_name(spark):

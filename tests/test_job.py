@@ -62,7 +62,8 @@ def test_split_on_text_is_the_same_on_any_layout(spark, tmp_path):
 
 
 def test_wrong_header_and_wrong_label_break_the_contract(spark, tmp_path):
-    for name, content in {"h": "txt,lab\na,positive\n", "l": "review,sentiment\na,neutral\n"}.items():
+    bad = {"header": "txt,lab\na,positive\n", "label": "review,sentiment\na,neutral\n"}
+    for name, content in bad.items():
         (tmp_path / name).mkdir()
         (tmp_path / name / "dataset.csv").write_text(content)
         config = RunConfig(str(tmp_path / name), str(tmp_path / "out"), "r", persist=False)

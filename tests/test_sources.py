@@ -113,9 +113,9 @@ def test_load_is_idempotent_and_follows_changes(spark, tmp_path):
         (source / name).write_text("\n".join(lines) + "\n")
 
     def load(**options):
-        rows = read_reviews(spark, str(source)).select("*", F.col("_metadata.file_path").alias("path"))
-        # Both readers name a local file differently: file:///x and file:/x.
-        rows = rows.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))
+        # The two readers name a local file differently: file:///x and file:/x.
+        path = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+        rows = read_reviews(spark, str(source)).select("*", path.alias("path"))
         offered = manifest.file_manifest(spark, str(source))
         todo = manifest.load_pending(rows, offered, target, **options)
         current = manifest.current_rows(spark, target, offered)
