@@ -6,23 +6,25 @@ entry: those are checked by row counts here and by invariants in the tests.
 
 from __future__ import annotations
 
-import zipfile
 from collections.abc import Sequence
-from pathlib import Path
-
-import pyspark
 
 from reviewlab.catalog.queries import GERMAN_LETTERS, GERMAN_WORDS, RUN_ID
 from reviewlab.operators.hygiene import MARKED_LETTERS, WORD_PATTERNS
 
-STOP_WORDS_RESOURCE = "org/apache/spark/ml/feature/stopwords/english.txt"
-
-
-def _stop_words() -> list[str]:
-    """The list inside Spark's own jar, so that no session is needed to write the SQL."""
-    (jar,) = Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar")
-    with zipfile.ZipFile(jar) as resources:
-        return resources.read(STOP_WORDS_RESOURCE).decode("utf-8").split("\n")
+# Spark's default English stop words, in its order.
+STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself
+she her hers herself it its itself they them their theirs themselves what which who whom
+this that these those am is are was were be been being have has had having do does did doing
+a an the and but if or because as until while of at by for with about against between into
+through during before after above below to from up down in out on off over under again
+further then once here there when where why how all any both each few more most other some
+such no nor not only own same so than too very s t can will just don should now i'll you'll
+he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're
+they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't
+doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's
+how's let's ought that's there's what's when's where's who's why's would
+""".split()
 
 
 def _quoted(values: list[str]) -> str:
@@ -58,7 +60,7 @@ def _words(column: str) -> str:
 
 
 def _kept(column: str) -> str:
-    return f"list_filter({_words(column)}, lambda w: w not in ({_quoted(_stop_words())}))"
+    return f"list_filter({_words(column)}, lambda w: w not in ({_quoted(STOP_WORDS)}))"
 
 
 def _word_list(words: str) -> str:
