@@ -3,18 +3,96 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewlab.llm import minhash
+from reviewlab.llm import minhash, sharding, urls, warc
+from reviewlab.scratch import fresh_path
 from reviewlab.sources.tables import table
 
+# The rules of the url filter: verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of a shuffled corpus, equal in rows."""
+    shuffle = sharding.shuffled(table(spark, sf_dir, "documents"))
+    text = F.coalesce("record.text", F.lit(""))
+    return sharding.sharded(shuffle, 8).select(
+        "record.doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judged(pages, rules).select("row.page_id", "host", "path", "rule", "verdict")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a record and read back."""
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), "url", F.col("html").cast("binary").alias("payload")
+    )
+    path = fresh_path(spark, "archives")
+    warc.write_archives(warc.with_revisits(pages), path)
+    number = lambda column: F.nullif(F.regexp_extract(column, "[0-9-]*$", 0), F.lit("")).cast("long")
+    return warc.read_archives(spark, path).select(
+        number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
+
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, linked at 80 of 100."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
-QUERIES = [op6_minhash]
+QUERIES = [op1_sharding, op2_url_filters, op3_warc, op6_minhash]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    rules = ", ".join(str(rule) for rule in URL_RULES)
+    return {
+        "op2_url_filters": rf"""
+with parsed as (
+  select page_id,
+    coalesce(translate(regexp_extract(url, '{urls.PARTS}', 1), '{urls.UPPER}', '{urls.LOWER}'), '') as host,
+    coalesce(regexp_extract(url, '{urls.PARTS}', 2), '') as path
+  from pages),
+rules(verdict, rule_host, rule_path) as (values {rules}),
+ranked as (
+  select p.*, r.verdict, rule_host || rule_path as rule,
+    row_number() over (partition by p.page_id order by len(rule_host || rule_path) desc) as place
+  from parsed p left join rules r
+    on ('.' || p.host) like ('%.' || rule_host) and starts_with(p.path, rule_path))
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+from ranked where place = 1""",
+        "op3_warc": """
+with h as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages),
+k as (select *, max(page_id) over (partition by hex) as keeper from h),
+bits as (
+  select page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + ('0b' ||
+      substr(b, (5 * i + 1)::int, 5))::utinyint)::int, 1), '' order by i) as digest
+  from (select page_id, list_aggregate(list_transform(range(0, 40), lambda n:
+      lpad(bin(('0x' || substr(hex, (n + 1)::int, 1))::utinyint), 4, '0')), 'string_agg', '') as b from k),
+    range(32) r(i) group by page_id)
+select page_id, strlen(html)::bigint as payload_bytes, digest as payload_digest,
+  case when page_id = keeper then 'response' else 'revisit' end as record_type,
+  case when page_id <> keeper then keeper end as refers_to
+from k join bits using (page_id)""",
+    }
