@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import minhash, sharding, urls, warc
+from reviewlab.llm import language, minhash, secrets, sharding, urls, warc
 from reviewlab.scratch import fresh_path
 from reviewlab.sources.tables import table
 
@@ -57,17 +57,69 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1).alias("held_out")
+    )
+    model = language.fit(docs.where("not held_out"), text="text", label="lang")
+    found = docs.select("doc_id", "held_out", language.identified(F.col("text"), model).alias("f"))
+    return found.select(
+        "doc_id", "held_out", F.col("f.lang").alias("lang_pred"), "f.score", "f.ambiguous"
+    )
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, linked at 80 of 100."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
-QUERIES = [op1_sharding, op2_url_filters, op3_warc, op6_minhash]
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new ledger, filled with all documents and joined back to them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = fresh_path(spark, "ledger")
+    secrets.update(docs, ledger)
+    found = secrets.findings(docs, ledger)
+    rules = F.transform("found", lambda s: s["rule"])
+    counts = [
+        (F.size("found") - F.size(F.array_remove(rules, rule.name))).cast("long").alias(f"n_{rule.name}")
+        for rule in secrets.RULES
+    ]
+    spans = secrets.listed(F.col("found"))
+    return found.select(
+        "row.doc_id", *counts, F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans")
+    )
+
+
+QUERIES = [op1_sharding, op2_url_filters, op3_warc, op5_language, op6_minhash, op8_secrets]
 
 
 def oracle_sql() -> dict[str, str]:
     rules = ", ".join(str(rule) for rule in URL_RULES)
+    kinds = [
+        f"""
+select doc_id, '{rule.name}' as kind, {i} as ord, unnest(list_filter(list_transform(
+    range(0, (len(parts) - 1) // 3),
+    lambda k: {{'a': coalesce(list_sum(list_transform(parts[1:3 * k + 1], lambda p: length(p))), 0)::bigint,
+               'b': length(parts[3 * k + 2]) + length(parts[3 * k + 3]),
+               'size': length(parts[3 * k + 3])}}), lambda s: s.size >= {rule.least})) as s
+from (select doc_id, string_split(regexp_replace(translate(coalesce(text, ''), chr(1), chr(2)),
+    '{rule.pattern.replace("'", "''")}', chr(1) || '\\1' || chr(1) || '\\2' || chr(1), 'g'), chr(1)) as parts
+  from documents)"""
+        for i, rule in enumerate(secrets.RULES)
+    ]
     return {
+        "op8_secrets": f"""
+with found as ({" union all ".join(kinds)}),
+listed as (
+  select doc_id, count(*) filter (kind = 'assign') as n_assign,
+    count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+    string_agg(kind || ':' || s.a || ':' || (s.a + s.b), ',' order by s.a, ord) as spans
+  from found group by doc_id)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+  coalesce(n_hex, 0) as n_hex, sha256(coalesce(spans, '')) as base_sha256,
+  coalesce(spans, '') as spans
+from documents left join listed using (doc_id)""",
         "op2_url_filters": rf"""
 with parsed as (
   select page_id,
