@@ -9,10 +9,10 @@ its smallest hash, and empty bins borrow from a bin drawn by a fixed random orde
    document is linked to its best centre only, so there are fewer links than documents.
 3. Links are confirmed on full shingle sets, and components are formed.
 4. What stars can miss: two documents of one bucket that are still in different
-   components. Only such pairs, sharing two buckets or more, are confirmed as well.
+   components. Only such documents are compared with each other, block by block.
 
-With 5 rows and 40 bands a pair at 0.8 shares fewer than two buckets with a chance of
-3e-6, and more similar pairs with a smaller one.
+With 5 rows and 40 bands a pair at 0.8 shares no bucket with a chance of 1e-7, and more
+similar pairs with a smaller one.
 
 Nulls and texts without words: empty set, linked with nothing. A null id: linked with
 nothing, component null, kept. Rows of one id are judged by their own texts.
@@ -25,7 +25,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.llm.graph import components
@@ -33,6 +33,7 @@ from reviewlab.llm.words import mix, normal_form, shingle_hashes, texts, word_ha
 from reviewlab.scratch import stage
 
 ROWS, BANDS = 5, 40
+BLOCK = 64
 
 
 def donor_order(bins: int) -> np.ndarray:
@@ -146,7 +147,7 @@ def near_duplicates(
     )
     stars = stage(confirmed(_stars(mates), sets, percent), "stars")
     roots = components(stars)
-    rest = stage(confirmed(_between(mates, roots, percent), sets, percent), "rest")
+    rest = stage(_between(mates, roots, sets, percent), "rest")
     roots = roots if rest.isEmpty() else stage(_joined(roots, rest), "roots")
     places = nodes.join(roots, "node", "left").select(
         "key", F.coalesce("root", "node").alias("component")
@@ -193,30 +194,93 @@ def _stars(mates: DataFrame) -> DataFrame:
     )
 
 
-def _between(mates: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of bucket mates of different components that share two buckets or more."""
+def _between(mates: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between bucket mates of different components, confirmed on full sets.
+
+    Shingles that occur in one component only can't be common to a pair, so the others
+    bound what two documents have in common. Copies, and families of copies, that were
+    changed too much to be linked with others fall away here. The rest is dealt into
+    blocks of about BLOCK documents by the largest bucket they lie in, and blocks that
+    share a bucket are compared, so a large bucket makes few rows and no large task.
+    """
     placed = mates.join(roots, "node", "left").select(
         "bucket", "node", "n", F.coalesce("root", "node").alias("root")
     )
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    placed = stage(
-        placed.join(mixed.where("lo <> hi").select("bucket"), "bucket"), "mixed"
-    )
-    groups = placed.select("bucket", "root").distinct()
-    sides = groups.alias("x").join(groups.alias("y"), "bucket").where("x.root < y.root")
-    sides = sides.select("bucket", F.col("x.root").alias("ra"), F.col("y.root").alias("rb"))
-    left = placed.select("bucket", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n").alias("na"))
-    right = placed.select("bucket", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n").alias("nb"))
+    placed = _mixed(placed)
+    inner = sets.join(placed.select("node", "root").distinct(), "node").select(
+        # 32 bits do: two shingles taken for one only raise the bound.
+        "node", "root", F.explode(F.transform("shingles", lambda s: (s % (1 << 31)).cast("int"))).alias("s")
+    )
+    own = (
+        inner.groupBy("s")
+        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        .where("lo = hi")
+        .select("s")
+    )
+    alone = inner.join(own, "s").groupBy("node").agg(F.count("*").alias("alone"))
+    placed = placed.join(stage(alone, "alone"), "node", "left").select(
+        "bucket", "root", "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("u")
+    )
+    placed = _mixed(placed.where(F.col("u") * 100 >= F.col("n") * percent))
+
+    homes = (
+        placed.join(placed.groupBy("bucket").agg(F.count("*").alias("size")), "bucket")
+        .groupBy("node")
+        .agg(F.max(F.struct("size", "bucket")).alias("home"), *[F.first(c).alias(c) for c in ("root", "n", "u")])
+        .select(
+            "node",
+            F.struct(
+                "home.bucket", F.pmod(F.xxhash64("node"), F.ceil(F.col("home.size") / BLOCK)).alias("part")
+            ).alias("block"),
+            F.struct("node", "root", "n", "u").alias("me"),
+        )
+    )
+    homes = stage(homes, "homes")
+    lying = placed.join(homes.select("node", "block"), "node").select("bucket", "block").distinct()
+    pairs = (
+        lying.alias("x")
+        .join(lying.alias("y"), "bucket")
+        .where("x.block <= y.block")
+        .select(F.col("x.block").alias("xb"), F.col("y.block").alias("yb"))
+        .distinct()
+    )
+    blocks = homes.join(sets, "node").groupBy("block").agg(
+        F.collect_list(F.struct("me.*", "shingles")).alias("docs")
+    )
+    blocks = stage(blocks, "blocks")
+
+    def linked(p: Column, q: Column) -> Column:
+        sizes = p["n"] + q["n"]
+        common = F.size(F.array_intersect(p["shingles"], q["shingles"]))
+        return (
+            (p["root"] != q["root"])
+            & (F.least(p["n"], q["n"]) * 100 >= F.greatest(p["n"], q["n"]) * percent)
+            & (F.least(p["u"], q["u"]) * (100 + percent) >= sizes * percent)
+            & F.when(p["root"] != q["root"], common * (100 + percent) >= sizes * percent)
+        )
+
+    links = F.transform(
+        "xs",
+        lambda p: F.transform(
+            F.filter("ys", lambda q: linked(p, q)),
+            lambda q: F.struct(p["node"].alias("a"), q["node"].alias("b")),
+        ),
+    )
     return (
-        sides.join(left, ["bucket", "ra"])
-        .join(right, ["bucket", "rb"])
-        .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        .groupBy("a", "b", "na", "nb")
-        .count()
-        .where("count > 1")
+        pairs.join(blocks.select(F.col("block").alias("xb"), F.col("docs").alias("xs")), "xb")
+        .join(blocks.select(F.col("block").alias("yb"), F.col("docs").alias("ys")), "yb")
+        .select(F.explode(F.flatten(links)).alias("link"))
+        .select("link.a", "link.b")
+        .distinct()
     )
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """What lies in buckets of two components or more."""
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    return stage(placed.join(mixed.where("lo <> hi").select("bucket"), "bucket"), "mixed")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``a, b`` of the pairs whose full sets are similar enough."""
     pairs = pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
