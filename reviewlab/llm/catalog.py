@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import language, minhash, secrets, sharding, urls, warc
+from reviewlab.llm import decontaminate, language, minhash, secrets, sharding, urls, warc
 from reviewlab.scratch import fresh_path
 from reviewlab.sources.tables import table
 
@@ -74,6 +74,20 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, one row per item found."""
+    items = table(spark, sf_dir, "benchmark")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", F.explode(decontaminate.hits(F.col("text"), items)).alias("h"))
+    return found.select(
+        "doc_id",
+        F.col("h.item").alias("item_id"),
+        "h.score",
+        F.col("h.question").alias("question_overlap"),
+        F.col("h.answer").alias("answer_overlap"),
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A new ledger, filled with all documents and joined back to them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,7 +105,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = [op1_sharding, op2_url_filters, op3_warc, op5_language, op6_minhash, op8_secrets]
+QUERIES = [op1_sharding, op2_url_filters, op3_warc, op5_language, op6_minhash, op7_decontaminate, op8_secrets]
 
 
 def oracle_sql() -> dict[str, str]:

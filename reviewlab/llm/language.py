@@ -27,7 +27,7 @@ from reviewlab.llm.words import texts
 
 UNKNOWN = "und"
 BINS = 4096
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 2000
 MAX_LANGUAGES = 1000
 # Under this share of the best language a text is ambiguous.
 CLEAR = 0.6
@@ -84,19 +84,19 @@ class Model:
         return best, share, (wrong > (_distance(self.codes) - 1) // 2) | (share < CLEAR)
 
 
-def _learn(x: np.ndarray, y: np.ndarray, steps: int = 300, penalty: float = 1e-4) -> tuple:
+def _learn(x: np.ndarray, y: np.ndarray, steps: int = 150, penalty: float = 1e-4) -> tuple:
     """Weights, bias and trust of one bit, by full-batch gradient steps (Adam)."""
     w = np.zeros(x.shape[1] + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
     share = max((y > 0).mean(), 1e-9), max((y < 0).mean(), 1e-9)
     importance = np.where(y > 0, 0.5 / share[0], 0.5 / share[1]) / len(y)
     for t in range(1, steps + 1):
-        z = x @ w[:-1] + w[-1]
+        z = x @ w[:-1].astype(np.float32) + w[-1]
         slope = -y * importance / (1 + np.exp(np.clip(y * z, -30, 30)))
-        g = np.append(x.T @ slope + penalty * w[:-1], slope.sum())
+        g = np.append(slope.astype(np.float32) @ x + penalty * w[:-1], slope.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.3 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-    right = importance[np.sign(x @ w[:-1] + w[-1]) == y].sum()
+    right = importance[np.sign(x @ w[:-1].astype(np.float32) + w[-1]) == y].sum()
     return w[:-1], w[-1], float(np.clip(2 * right - 1, 0.05, 1))
 
 

@@ -13,6 +13,8 @@ import pyarrow as pa
 
 BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 IS_BLANK = np.isin(np.arange(256), BLANKS)
+# Signs of ASCII count as blanks too.
+IS_SIGN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -54,10 +56,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def word_bounds(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_bounds(text: np.ndarray, is_blank: np.ndarray = IS_BLANK) -> tuple[np.ndarray, np.ndarray]:
     """Where words start and end (exclusive), in bytes."""
     blank = np.ones(len(text) + 2, np.int8)
-    blank[1:-1] = IS_BLANK[text]
+    blank[1:-1] = is_blank[text]
     edges = np.flatnonzero(np.diff(blank))
     return edges[0::2], edges[1::2]
 
@@ -70,9 +72,9 @@ def span_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(text: np.ndarray) -> np.ndarray:
+def word_hashes(text: np.ndarray, is_blank: np.ndarray = IS_BLANK) -> np.ndarray:
     """A hash for each word, in order."""
-    starts, ends = word_bounds(text)
+    starts, ends = word_bounds(text, is_blank)
     return span_hashes(LOWER[text], starts, ends)
 
 
