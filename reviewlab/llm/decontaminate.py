@@ -32,7 +32,9 @@ from reviewlab.llm.words import IS_SIGN, shingle_hashes, texts, word_hashes
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.6, 5
-BLOCK = 8
+BLOCK = 2
+# Terms are looked up by so many leading bits of their hash.
+LOOKUP_BITS = 18
 # Text of the items of one index, which is broadcast; more items make more indexes.
 INDEX_BYTES = 32 << 20
 HIT = "array<struct<item:bigint,score:double,question:double,answer:double,word:bigint>>"
@@ -58,6 +60,8 @@ class Index:
     ids: list[int]
     longest: int
     terms: np.ndarray
+    lookup: np.ndarray
+    probes: int
     start: np.ndarray
     item: np.ndarray
     impact: np.ndarray
@@ -68,25 +72,31 @@ class Index:
     questions: list[np.ndarray]
     answers: list[np.ndarray]
 
-    def stretches(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (stretch, term) of the words that are terms."""
-        at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
-        known = np.flatnonzero(self.terms[at] == words)
-        pairs = np.unique(known // self.longest * len(self.terms) + at[known])
-        return pairs // len(self.terms), pairs % len(self.terms)
+    def passages(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (passage, term) of the words that are terms, in order."""
+        low = self.lookup[(words >> np.uint64(64 - LOOKUP_BITS)).astype(np.int64)]
+        at = np.full(len(words), -1)
+        for probe in range(self.probes):
+            tried = np.minimum(low + probe, len(self.terms) - 1)
+            np.copyto(at, tried, where=self.terms[tried] == words)
+        known = np.flatnonzero(at >= 0)
+        stretch = known // self.longest
+        pair = np.unique(stretch * len(self.terms) + at[known])
+        before = pair[pair >= len(self.terms)] - len(self.terms)
+        pair = np.unique(np.concatenate((pair, before)))
+        return pair // len(self.terms), pair % len(self.terms)
 
-    def possible(self, stretch: np.ndarray, term: np.ndarray, threshold: float) -> np.ndarray:
+    def possible(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> np.ndarray:
         """The passages in which some block of items can reach the threshold."""
         blocks = (len(self.ids) - 1) // BLOCK + 1
         n = self.block_start[term + 1] - self.block_start[term]
         entry = np.repeat(self.block_start[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        last = int(stretch[-1])
         bound = np.bincount(
-            np.repeat(stretch, n) * blocks + self.block[entry],
+            np.repeat(passage, n) * blocks + self.block[entry],
             self.block_most[entry],
-            (last + 2) * blocks,
+            (int(passage[-1]) + 1) * blocks,
         ).reshape(-1, blocks)
-        return np.flatnonzero(((bound[:-1] + bound[1:]) >= threshold).any(axis=1))
+        return np.flatnonzero((bound >= threshold).any(axis=1))
 
     def wand(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
         """Every item with a score of the threshold or more for a query of distinct terms."""
@@ -129,17 +139,16 @@ class Index:
 
     def hits(self, body: np.ndarray, threshold: float, overlap: float) -> list[dict]:
         words = word_hashes(body, IS_SIGN)
-        stretch, term = self.stretches(words)
-        if not len(stretch):
+        passage, term = self.passages(words)
+        if not len(passage):
             return []
         best: dict[int, dict] = {}
-        for p in self.possible(stretch, term, threshold - 1e-6):
-            inside = np.unique(term[(stretch == p) | (stretch == p + 1)])
-            for item, score in self.wand(inside, threshold - 1e-6):
+        for p in self.possible(passage, term, threshold - 1e-6):
+            for item, score in self.wand(term[passage == p], threshold - 1e-6):
                 first = int(p) * self.longest
-                passage = np.unique(shingle_hashes(words[first : first + 2 * self.longest], SHINGLE))
+                found = np.unique(shingle_hashes(words[first : first + 2 * self.longest], SHINGLE))
                 shares = [
-                    float(np.isin(part[item], passage).mean()) if len(part[item]) else 1.0
+                    float(np.isin(part[item], found).mean()) if len(part[item]) else 1.0
                     for part in (self.questions, self.answers)
                 ]
                 if min(shares) < overlap:
@@ -172,6 +181,7 @@ def index_of(items: list[tuple[int, str, str]]) -> Index | None:
     impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / size.mean()))
     impact /= np.bincount(item, impact)[item]
     starts = np.flatnonzero(np.diff(term, prepend=-1))
+    prefix = (terms >> np.uint64(64 - LOOKUP_BITS)).astype(np.int64)
     key = term * len(rows) + item // BLOCK
     blocks = np.flatnonzero(np.diff(key, prepend=-1))
     questions, answers = [], []
@@ -185,6 +195,8 @@ def index_of(items: list[tuple[int, str, str]]) -> Index | None:
         ids=[i for i, _, _ in kept],
         longest=int(size.max()),
         terms=terms,
+        lookup=np.searchsorted(prefix, np.arange(1 << LOOKUP_BITS)),
+        probes=int(np.bincount(prefix).max()),
         start=np.append(starts, len(term)),
         item=item,
         impact=impact,
