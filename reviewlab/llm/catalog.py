@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import ann, decontaminate, language, minhash, secrets, sharding, urls, warc
+from reviewlab.llm import ann, decontaminate, language, minhash, secrets, sharding, suffixes, urls, warc
 from reviewlab.scratch import fresh_path
 from reviewlab.sources.tables import table
 
@@ -105,6 +105,11 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 200 bytes that occur twice or more."""
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every twentieth vector."""
     rows = table(spark, sf_dir, "embeddings")
@@ -112,7 +117,7 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
-QUERIES = [op1_sharding, op2_url_filters, op3_warc, op5_language, op6_minhash, op7_decontaminate, op8_secrets, op10_ann]
+QUERIES = [op1_sharding, op2_url_filters, op3_warc, op5_language, op6_minhash, op7_decontaminate, op8_secrets, op9_suffixes, op10_ann]
 
 
 def oracle_sql() -> dict[str, str]:
