@@ -33,7 +33,7 @@ from reviewlab.llm.words import mix, normal_form, shingle_hashes, texts, word_ha
 from reviewlab.scratch import stage
 
 ROWS, BANDS = 5, 40
-BLOCK = 64
+BLOCK = 256
 
 
 def donor_order(bins: int) -> np.ndarray:
