@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import ann, decontaminate, language, minhash, secrets, sharding, suffixes, urls, warc
+from reviewlab.llm import ann, decontaminate, language, minhash, pieces, secrets, sharding, suffixes, urls, warc
 from reviewlab.scratch import fresh_path
 from reviewlab.sources.tables import table
 
+# A model file that users replace by their own.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # The rules of the url filter: verdict, host, path.
 URL_RULES = [
     ("allow", "com", "/"),
@@ -57,6 +59,19 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str, model_path: str = MODEL) -> DataFrame:
+    """The pieces of every document, and whether they decode to its text."""
+    model = pieces.read_model(model_path)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.withColumn("pieces", pieces.encoded(spark, F.col("text"), model))
+    return found.select(
+        "doc_id",
+        F.coalesce(F.size("pieces"), F.lit(0)).alias("n_pieces"),
+        "pieces",
+        pieces.decoded(spark, F.col("pieces"), model).eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from the labelled documents that are not held out."""
     docs = table(spark, sf_dir, "documents").select(
@@ -117,7 +132,7 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
-QUERIES = [op1_sharding, op2_url_filters, op3_warc, op5_language, op6_minhash, op7_decontaminate, op8_secrets, op9_suffixes, op10_ann]
+QUERIES = [op1_sharding, op2_url_filters, op3_warc, op4_pieces, op5_language, op6_minhash, op7_decontaminate, op8_secrets, op9_suffixes, op10_ann]
 
 
 def oracle_sql() -> dict[str, str]:
