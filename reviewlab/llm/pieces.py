@@ -33,6 +33,8 @@ from reviewlab.llm.words import mix
 BLANK = "▁"
 # Words remembered by a task; words of more signs are folded one by one.
 REMEMBERED, LONG = 400_000, 40
+# Signs of the texts whose words are looked up together.
+TOGETHER = 4_000_000
 LOOKUP_BITS = 18
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -289,25 +291,30 @@ def encoded(spark: SparkSession, text: Column, model: Model) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lattice = Lattice(Model(**shared.value))
         known: dict[str, list[int]] = {}
-        for column in batches:
-            out: list = []
-            for value in column:
-                body = value.as_py()
-                if body is None:
-                    out.append(None)
-                    continue
-                words = lattice.words(body)
-                missing = set(words).difference(known)
-                if missing:
-                    if len(known) > REMEMBERED:
-                        known = {}
-                        missing = set(words)
-                    known |= lattice.paths(list(missing))
+
+        def ids_of(bodies: list) -> Iterator:
+            """The words of some texts are looked up together."""
+            nonlocal known
+            split = [lattice.words(body) if body is not None else None for body in bodies]
+            words = {word for line in split if line for word in line}
+            if len(known) > REMEMBERED:
+                known = {}
+            known |= lattice.paths(list(words.difference(known)))
+            for line in split:
                 ids: list[int] = []
-                for word in words:
+                for word in line or ():
                     ids += known[word]
-                out.append(np.array(ids, np.int32))
-            yield pa.array(out, pa.list_(pa.int32()))
+                yield None if line is None else np.array(ids, np.int32)
+
+        for column in batches:
+            out, held, size = [], [], 0
+            for value in column:
+                held.append(value.as_py())
+                size += len(held[-1] or "")
+                if size > TOGETHER:
+                    out += ids_of(held)
+                    held, size = [], 0
+            yield pa.array([*out, *ids_of(held)], pa.list_(pa.int32()))
 
     return encode(text)
 
