@@ -79,15 +79,23 @@ def signatures(docs: DataFrame, id: str, text: str, words: int, rows: int, bands
             yield pa.record_batch(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(keys, pa.binary()),
                     pa.array(sizes, pa.int64()),
                     pa.array(found, pa.list_(pa.int64())),
                 ],
-                ["id", "key", "n_shingles", "bands"],
+                ["id", "h", "key", "n_shingles", "bands"],
             )
 
-    return docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
-        work, "id long, key binary, n_shingles long, bands array<long>"
+    return _named(docs, id, text).mapInArrow(
+        work, "id long, h long, key binary, n_shingles long, bands array<long>"
+    )
+
+
+def _named(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """``id, text`` and ``h``, a hash that tells rows of one id apart."""
+    return docs.select(
+        F.col(id).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h")
     )
 
 
@@ -117,7 +125,7 @@ def near_duplicates(
     rows: int = ROWS,
     bands: int = BANDS,
 ) -> DataFrame:
-    """``id, n_shingles, component_id, kept`` per document.
+    """``id, n_shingles, component_id, kept, text_hash`` per document.
 
     Documents are linked if ``100 * common shingles >= percent * all shingles``; the
     component is the smallest id that can be reached, and that document is kept.
@@ -133,14 +141,13 @@ def near_duplicates(
         "nodes",
     )
     mates = _bucket_mates(nodes)
-    source = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    source = _named(docs, id, text)
     wanted = stage(mates.select(F.col("node").alias("id")).distinct(), "wanted")
     sets = stage(
         shingle_sets(
             source.join(wanted, "id", "left_semi")
             .where("text is not null")
-            .withColumn("of", F.xxhash64("text"))
-            .dropDuplicates(["id", "of"]),
+            .dropDuplicates(["id", "h"]),
             words,
         ),
         "shingles",
@@ -158,11 +165,24 @@ def near_duplicates(
             F.col("id").alias(id),
             "n_shingles",
             F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
+            F.col("h").alias("text_hash"),
         )
         .withColumn("kept", F.coalesce(F.col(id) == F.col("component_id"), F.lit(True)))
     )
 
 
+def deduplicated(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are kept; of equal rows, and of equal texts without an id, one."""
+    judged = near_duplicates(docs, id=id, text=text, **options)
+    gone = stage(judged.where("not kept").select(F.col(id).alias("i"), F.col("text_hash").alias("h")), "gone")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id).cast("long").alias("i"),
+        F.xxhash64(text).alias("h"),
+    )
+    return rows.join(gone, ["i", "h"], "left_anti").dropDuplicates(["i", "h"]).select("row.*")
+
+
 def _bucket_mates(nodes: DataFrame) -> DataFrame:
     """``bucket, node, n, mates``: the documents of buckets of two or more."""
     placed = nodes.select("node", "n", F.explode("bands").alias("bucket"))
