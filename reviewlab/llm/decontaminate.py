@@ -10,7 +10,7 @@ with all of an item's words.
 2. The other passages are run through block-max WAND, which returns every item at or
    above the threshold.
 3. A hit counts if enough of both the question and the answer is found: shingles of
-   five words, by exact position in the passage.
+   five words (an item of fewer words is one shingle).
 
 Items are given with a question and an answer, or as one text, whose last sentence is
 then the answer (its last third, if there is one sentence). Signs and case don't count.
@@ -69,6 +69,7 @@ class Index:
     block_start: np.ndarray
     block: np.ndarray
     block_most: np.ndarray
+    sizes: list[int]
     questions: list[np.ndarray]
     answers: list[np.ndarray]
 
@@ -146,7 +147,8 @@ class Index:
         for p in self.possible(passage, term, threshold - 1e-6):
             for item, score in self.wand(term[passage == p], threshold - 1e-6):
                 first = int(p) * self.longest
-                found = np.unique(shingle_hashes(words[first : first + 2 * self.longest], SHINGLE))
+                size = min(SHINGLE, self.sizes[item])
+                found = np.unique(shingle_hashes(words[first : first + 2 * self.longest], size))
                 shares = [
                     float(np.isin(part[item], found).mean()) if len(part[item]) else 1.0
                     for part in (self.questions, self.answers)
@@ -204,6 +206,7 @@ def index_of(items: list[tuple[int, str, str]]) -> Index | None:
         block_start=np.append(np.searchsorted(term[blocks], np.arange(len(terms))), len(blocks)),
         block=item[blocks] // BLOCK,
         block_most=np.maximum.reduceat(impact, blocks),
+        sizes=size.tolist(),
         questions=questions,
         answers=answers,
     )
