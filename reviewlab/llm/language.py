@@ -53,7 +53,7 @@ def codewords(n: int, seed: int = 5) -> np.ndarray:
     the best of a hundred draws by the smallest distance of two rows."""
     if n <= 7:
         parts = range(1, 2 ** max(n - 1, 0))
-        return np.array([[1 if p >> i & 1 else -1 for p in parts] for i in range(n)]).reshape(n, -1)
+        return np.array([[1 if p >> i & 1 else -1 for p in parts] for i in range(n)]).reshape(n, len(parts))
     rng = np.random.Generator(np.random.PCG64(seed))
     width = 10 * int(np.ceil(np.log2(n)))
     draws = [rng.choice([-1, 1], (n, width)) for _ in range(100)]

@@ -104,7 +104,8 @@ def _scanned(docs: DataFrame, length: int, gram: int) -> DataFrame:
 def deep_shallow(strings: list[bytes], shallow: int) -> list[int]:
     """The order of the strings: by bytes up to a depth, by blind tries beyond it."""
     done: list[int] = []
-    todo = [(list(range(len(strings))), 0)]
+    common = min((common_prefix(strings[0], s) for s in strings), default=0)
+    todo = [(list(range(len(strings))), common)] if strings else []
     while todo:
         group, depth = todo.pop()
         if len(group) == 1:
@@ -117,7 +118,7 @@ def deep_shallow(strings: list[bytes], shallow: int) -> list[int]:
             less = [i for i, s in zip(group, sign, strict=True) if s < pivot]
             same = [i for i, s in zip(group, sign, strict=True) if s == pivot]
             more = [i for i, s in zip(group, sign, strict=True) if s > pivot]
-            for part, deeper in ((more, depth), (same, depth + 1 if pivot >= 0 else shallow), (less, depth)):
+            for part, deeper in ((more, depth), (same, depth + 1 if pivot >= 0 else max(shallow, depth)), (less, depth)):
                 if part:
                     todo.append((part, deeper))
     return done
@@ -178,20 +179,24 @@ def agreements(rows: list[dict], length: int, gram: int) -> Iterator[tuple[int,
     rows = [rows[i] for i in order]
     after = [after[i] for i in order]
     near = np.array([common_prefix(a, b) for a, b in zip(after, after[1:], strict=False)], int)
-    reach = max(r["before"] for r in rows)
-    ahead = np.zeros((len(rows), reach), np.uint8)
     sizes = np.array([r["before"] for r in rows])
+    reach = -(-max(int(sizes.max()), 1) // 8) * 8
+    ahead = np.zeros((len(rows), reach), np.uint8)
     for i, r in enumerate(rows):
         ahead[i, : r["before"]] = np.frombuffer(r["body"][: r["before"]], np.uint8)[::-1]
+    ahead, line = ahead.view("<u8"), np.arange(len(rows))
     for i, r in enumerate(rows):
         if not r["lone"]:
             continue  # it has a twin that agrees with all of it
         prefix = np.concatenate(
             (np.minimum.accumulate(near[:i][::-1])[::-1], [0], np.minimum.accumulate(near[i:]))
         )
-        same = np.cumprod(ahead == ahead[i], axis=1).sum(axis=1) if reach else np.zeros(len(rows), int)
+        # Bytes that agree before the gram: whole words, then the first unlike word's low bytes.
+        word = (ahead != ahead[i]).argmax(axis=1)
+        unlike = ahead[line, word] ^ ahead[i, word]
+        low = np.log2(np.maximum(unlike & (~unlike + np.uint64(1)), np.uint64(1)).astype(float))
+        same = np.where(unlike > 0, word * 8 + (low.astype(int) >> 3), reach)
         same = np.minimum(np.minimum(same, sizes), sizes[i])
-        same[i] = 0
         good = (prefix >= gram) & (prefix + same >= length)
         if good.any():
             yield r["context"], int(same[good].max()), int(prefix[good].max())
