@@ -19,22 +19,23 @@ the model has byte pieces, else the unknown piece. Only models that do not rewri
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm.words import mix
+from reviewlab.llm.words import mix, span_hashes, texts
 
 BLANK = "▁"
 # Words remembered by a task; words of more signs are folded one by one.
-REMEMBERED, LONG = 400_000, 40
-# Signs of the texts whose words are looked up together.
-TOGETHER = 4_000_000
+REMEMBERED, LONG = 500_000, 40
+# Bytes of texts whose words are looked up together; words in a table of edges; texts
+# that are decoded together.
+TOGETHER, TABLE, LISTS = 3_000_000, 4096, 500
 LOOKUP_BITS = 18
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -103,17 +104,27 @@ class Lattice:
         self.table = {w: i for w, i in zip(words, kept, strict=True)}
         self.lowest = min((model.scores[i] for i in kept), default=0.0) - 10
         signs = set("".join(words))
-        # Signs that no piece holds stand alone; blanks stand for themselves here.
-        lone = "".join(re.escape(c) for c in map(chr, range(32)) if c not in signs)
-        self.cut = re.compile(rf" *[^ {lone}]+| +" + (rf"|[{lone}]" if lone else ""))
+        # Signs that no piece holds stand alone; control signs are the frequent ones.
+        self.lone = np.array([i < 32 and chr(i) not in signs for i in range(256)])
 
     def _hash(self, word: str) -> np.uint64:
         code = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
         total = (mix(code + np.uint64(1)) * self.up[: len(code)]).sum(dtype=np.uint64)
         return mix(np.array([total + np.uint64(len(code))], np.uint64))[0]
 
-    def words(self, text: str) -> list[str]:
-        return self.cut.findall(" " + text.replace(BLANK, " ")) if text else []
+    def words(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All texts in a row, each with a blank put in front, where words start in it, and
+        how many words each text has."""
+        bodies = [b" " + b.replace(BLANK.encode(), b" ") if b else b"" for b in bodies]
+        line = np.frombuffer(b"".join(bodies), np.uint8)
+        sizes = np.array([len(b) for b in bodies])
+        blank, lone = line == 32, self.lone[line]
+        start = lone | blank
+        start[1:] = lone[1:] | lone[:-1] | (blank[1:] & ~blank[:-1])
+        first = np.cumsum(sizes) - sizes
+        start[first[sizes > 0]] = True
+        at = np.flatnonzero(start)
+        return line, at, np.diff(np.searchsorted(at, np.append(first, len(line))))
 
     def edges(self, words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
         """Scores (-inf: no piece) and ids by word, start and length, of words of ``n`` signs."""
@@ -135,32 +146,40 @@ class Lattice:
                 ids[row, col, size] = self.id[at[hit]]
         return score, ids
 
-    def paths(self, words: list[str]) -> dict[str, list[int]]:
-        """Ids of distinct words."""
-        found: dict[str, list[int]] = {}
-        by_size: dict[int, list[str]] = {}
-        for word in words:
-            by_size.setdefault(len(word), []).append(word)
-        for n, group in by_size.items():
-            if n > LONG:
-                found |= {w: self._long(w) for w in group}
-                continue
-            for lo in range(0, len(group), 1 << 14):
-                part = group[lo : lo + (1 << 14)]
-                score, ids = self.edges(part, n)
-                ends = _merged(score) if self.model.kind == "bpe" else _viterbi(score, self.lowest)
-                row, start = np.nonzero(ends)
-                stop = ends[row, start]
-                chosen = ids[row, start, stop - start]
-                bounds = np.searchsorted(row, np.arange(len(part) + 1))
-                chosen = chosen.tolist()
-                for i, word in enumerate(part):
-                    path = chosen[bounds[i] : bounds[i + 1]]
-                    if -1 in path:
-                        signs = [word[s] for s in start[bounds[i] : bounds[i + 1]]]
-                        path = [x for p, c in zip(path, signs, strict=True) for x in ([p] if p >= 0 else self.spelled(c))]
-                    found[word] = path
-        return found
+    def paths(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all ids in turn."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        parts: list[tuple] = []
+        for n in np.unique(sizes):
+            group = np.flatnonzero(sizes == n)
+            for at in np.array_split(group, -(-len(group) // TABLE)):
+                parts.append((at, *self._paths([words[i] for i in at], int(n))))
+        count = np.zeros(len(words), np.int64)
+        for at, n, _ in parts:
+            count[at] = n
+        end = np.cumsum(count)
+        ids = np.zeros(int(end[-1]) if len(end) else 0, np.int32)
+        for at, n, chosen in parts:
+            ids[stretches(end[at] - n, n)] = chosen
+        return count, ids
+
+    def _paths(self, words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of ``n`` signs."""
+        if n > LONG:
+            found = [self._long(w) for w in words]
+            return np.array([len(f) for f in found]), np.array([i for f in found for i in f], np.int32)
+        score, ids = self.edges(words, n)
+        ends = _merged(score) if self.model.kind == "bpe" else _viterbi(score, self.lowest)
+        row, start = np.nonzero(ends)
+        chosen = ids[row, start, ends[row, start] - start]
+        missing = np.flatnonzero(chosen < 0)
+        if len(missing):
+            spelled = [self.spelled(words[row[i]][start[i]]) for i in missing]
+            more = np.ones(len(chosen), np.int64)
+            more[missing] = [len(s) for s in spelled]
+            row, chosen = np.repeat(row, more), np.repeat(chosen, more)
+            chosen[chosen < 0] = [x for s in spelled for x in s]
+        return np.bincount(row, minlength=len(words)), chosen
 
     def spelled(self, sign: str) -> list[int]:
         """A sign that the table lacks."""
@@ -211,7 +230,7 @@ def _viterbi(score: np.ndarray, lowest: float) -> np.ndarray:
     words, n, wide = score.shape
     first = score[:, :, 1]
     score[:, :, 1] = np.where(np.isfinite(first), first, lowest)
-    best = np.full((words, n + 1), -np.inf)
+    best = np.full((words, n + 1), -np.inf, np.float32)
     best[:, 0] = 0
     back = np.zeros((words, n + 1), int)
     for stop in range(1, n + 1):
@@ -265,14 +284,14 @@ def _merged_long(word: str, lattice: Lattice) -> list[int]:
 
 
 def _viterbi_long(word: str, lattice: Lattice) -> list[int]:
-    best, back = [0.0], [0]
+    best, back = [np.float32(0)], [0]
     for stop in range(1, len(word) + 1):
         found = []
         for start in range(max(0, stop - lattice.longest), stop):
             piece = lattice.table.get(word[start:stop])
             if piece is not None or stop - start == 1:
                 score = lattice.model.scores[piece] if piece is not None else lattice.lowest
-                found.append((best[start] + score, -start))
+                found.append((best[start] + np.float32(score), -start))
         value, start = max(found)
         best.append(value)
         back.append(-start)
@@ -283,38 +302,80 @@ def _viterbi_long(word: str, lattice: Lattice) -> list[int]:
     return stops[::-1]
 
 
+def stretches(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of stretches, one after the other."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+
+class Known:
+    """Paths of the words met so far, by hash, at most about REMEMBERED."""
+
+    def __init__(self, lattice: Lattice) -> None:
+        self.lattice = lattice
+        self.clear()
+
+    def clear(self) -> None:
+        self.key = np.zeros(0, np.uint64)
+        self.start, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def add(self, key: np.ndarray, words: list[str]) -> None:
+        count, ids = self.lattice.paths(words)
+        start = len(self.ids) + np.cumsum(count) - count
+        order = np.argsort(np.concatenate((self.key, key)), kind="stable")
+        self.key = np.concatenate((self.key, key))[order]
+        self.start = np.concatenate((self.start, start))[order]
+        self.count = np.concatenate((self.count, count))[order]
+        self.ids = np.concatenate((self.ids, ids))
+
+    def encode(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text has, and all ids in turn."""
+        line, at, words = self.lattice.words(bodies)
+        if not len(at):
+            return np.zeros(len(bodies), np.int64), np.zeros(0, np.int32)
+        stop = np.append(at[1:], len(line))
+        key, first, which = np.unique(span_hashes(line, at, stop), return_index=True, return_inverse=True)
+        if len(self.key) > REMEMBERED:
+            self.clear()
+        place = np.searchsorted(self.key, key)
+        fresh = np.ones(len(key), bool)
+        inside = place < len(self.key)
+        fresh[inside] = self.key[place[inside]] != key[inside]
+        if fresh.any():
+            text = line.tobytes()
+            new = [text[at[i] : stop[i]].decode() for i in first[fresh]]
+            self.add(key[fresh], new)
+        place = np.searchsorted(self.key, key)[which]
+        count = self.count[place]
+        ids = self.ids[stretches(self.start[place], count)]
+        ends = np.append(0, np.cumsum(count))
+        last = np.cumsum(words)
+        return ends[last] - ends[last - words], ids
+
+
 def encoded(spark: SparkSession, text: Column, model: Model) -> Column:
     """The ids of the pieces of each text."""
     shared = spark.sparkContext.broadcast(vars(model))
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lattice = Lattice(Model(**shared.value))
-        known: dict[str, list[int]] = {}
-
-        def ids_of(bodies: list) -> Iterator:
-            """The words of some texts are looked up together."""
-            nonlocal known
-            split = [lattice.words(body) if body is not None else None for body in bodies]
-            words = {word for line in split if line for word in line}
-            if len(known) > REMEMBERED:
-                known = {}
-            known |= lattice.paths(list(words.difference(known)))
-            for line in split:
-                ids: list[int] = []
-                for word in line or ():
-                    ids += known[word]
-                yield None if line is None else np.array(ids, np.int32)
-
+        known = Known(Lattice(Model(**shared.value)))
         for column in batches:
-            out, held, size = [], [], 0
-            for value in column:
-                held.append(value.as_py())
-                size += len(held[-1] or "")
+            counts, ids = [], []
+            held: list[bytes] = []
+            size = 0
+            for body in [*texts(column), None]:
+                held.append(b"" if body is None else body.tobytes())
+                size += len(held[-1])
                 if size > TOGETHER:
-                    out += ids_of(held)
+                    for out, part in zip((counts, ids), known.encode(held), strict=True):
+                        out.append(part)
                     held, size = [], 0
-            yield pa.array([*out, *ids_of(held)], pa.list_(pa.int32()))
+            for out, part in zip((counts, ids), known.encode(held), strict=True):
+                out.append(part)
+            offsets = np.append(0, np.cumsum(np.concatenate(counts)[: len(column)])).astype(np.int32)
+            yield pa.ListArray.from_arrays(
+                pa.array(offsets), pa.array(np.concatenate(ids)), mask=column.is_null()
+            )
 
     return encode(text)
 
@@ -330,14 +391,32 @@ def decoded(spark: SparkSession, ids: Column, model: Model) -> Column:
         body[m.unknown] = " ⁇ ".encode()
         for value, i in enumerate(m.byte_ids):
             body[i] = bytes([value])
+        table = np.frombuffer(b"".join(body), np.uint8)
+        size = np.array([len(b) for b in body])
+        start = np.cumsum(size) - size
         for column in batches:
-            yield pa.array(
-                [
-                    None if ids is None else b"".join(map(body.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
-                    for ids in column.to_pylist()
-                ],
-                pa.string(),
-            )
+            out: list = []
+            for lo in range(0, len(column), LISTS):
+                part = column.slice(lo, LISTS)
+                flat = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                line = table[stretches(start[flat], size[flat])]
+                bounds = np.append(0, np.cumsum(size[flat]))
+                ends = np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy())
+                stops = bounds[ends]
+                starts = np.append(0, stops[:-1])
+                # The blank that was put in front.
+                keep = np.ones(len(line), bool)
+                full = starts[starts < stops]
+                keep[full[line[full] == 32]] = False
+                stops = np.append(0, np.cumsum(keep))[stops]
+                text = line[keep].tobytes()
+                starts = np.append(0, stops[:-1]).tolist()
+                missing = part.is_null().to_pylist()
+                out += [
+                    None if gone else text[a:b].decode("utf-8", "replace")
+                    for a, b, gone in zip(starts, stops.tolist(), missing, strict=True)
+                ]
+            yield pa.array(out, pa.string())
 
     return decode(ids)
 

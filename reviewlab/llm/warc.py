@@ -207,13 +207,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members, at, place = _Members(), None, 0
+        members, at, place, sure = _Members(), None, 0, False
         for batch in batches:
             done, left = [], []
             for file, block, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (file, block) != at:
                     left += members.rest()
-                    at, place = (file, block), 0
+                    at, place, sure = (file, block), 0, block == 0
                 place += 1
                 if block == 0 and place == 1:
                     if piece:  # before the first magic of a file
@@ -223,6 +223,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 left += given_up
                 if content is not None and (row := _parsed(content)):
                     done.append((*row, None, None, None, None))
+                    sure = True
+                elif content is not None and not sure:
+                    # A member of no data, or what looks like one in a record begun before.
+                    left.append(((*at, place), MAGIC + piece))
             yield _batch([*done, *[(*[None] * 8, *tag, p) for tag, p in left]], NAMES, TYPES)
         yield _batch([(*[None] * 8, *tag, p) for tag, p in members.rest()], NAMES, TYPES)
 
