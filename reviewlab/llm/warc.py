@@ -99,55 +99,57 @@ def write_archives(pages: DataFrame, path: str, *, date: str = DATE) -> None:
 
 
 class _Members:
-    """Joins pieces to members. ``feed`` gives a member's content when one is complete."""
+    """Joins pieces to members."""
 
     def __init__(self) -> None:
         self.pieces: list = []
         self.inflate = None
         self.content = b""
 
-    def start(self, piece: bytes) -> bytes | None:
-        """The content, b"" while it is open, None if no member starts here."""
-        if len(piece) > 3 and piece[3] & 0xE0:
-            return None
-        self.inflate, self.content = zlib.decompressobj(31), b""
-        return self.more(piece)
-
-    def more(self, piece: bytes) -> bytes | None:
+    def _more(self, piece: bytes) -> bool:
+        """Whether the member goes on, or ends, with this piece."""
         try:
             self.content += self.inflate.decompress(piece)
         except zlib.error:
-            self.inflate = None
-            return None
-        if self.inflate.eof:
-            self.inflate = None
-        return self.content
-
-    def feed(self, tag, piece: bytes) -> tuple[bytes | None, list]:
-        """Content of a member that ends here, and the tagged pieces given up."""
-        given_up: list = []
-        if self.pieces:
-            content = self.more(piece)
-            self.pieces.append((tag, piece))
-            if content is not None:
-                if self.inflate is None:
-                    self.pieces = []
-                    return content, given_up
-                return None, given_up
-            given_up, self.pieces = self.pieces[:-1], []
-        content = self.start(piece)
-        if content is None or content and not b"WARC/".startswith(content[:5]):
-            self.inflate = None
-            return None, [*given_up, (tag, piece)]
-        if self.inflate is None:
-            return content, given_up
-        self.pieces = [(tag, piece)]
-        return None, given_up
+            return False
+        return True
+
+    def _starts(self, piece: bytes) -> bool:
+        if len(piece) > 3 and piece[3] & 0xE0:
+            return False
+        self.inflate, self.content = zlib.decompressobj(31), b""
+        return self._more(piece) and b"WARC/".startswith(self.content[:5])
+
+    def feed(self, *queue: tuple) -> tuple[list, list]:
+        """Takes tagged pieces; gives the contents of members that end, each with the tag
+        and piece of its end, and the pieces that belong to none. If a member turns out to
+        be broken, its later pieces may begin members of their own."""
+        queue, done, lost = list(queue), [], []
+        while queue:
+            item = queue.pop(0)
+            fits = self._more(item[1]) if self.pieces else self._starts(item[1])
+            self.pieces.append(item)
+            if not fits:
+                lost.append(self.pieces[0])
+                queue, self.pieces = self.pieces[1:] + queue, []
+            elif self.inflate.eof:
+                done.append((self.content, *item))
+                self.pieces = []
+        return done, lost
 
     def rest(self) -> list:
-        left, self.pieces, self.inflate = self.pieces, [], None
+        left, self.pieces = self.pieces, []
         return left
 
+    def finish(self) -> tuple[list, list]:
+        """What the last, unfinished member leaves."""
+        done, lost = [], []
+        while left := self.rest():
+            more, gone = self.feed(*left[1:])
+            done += more
+            lost += [left[0], *gone]
+        return done, lost
+
 
 def _parsed(content: bytes) -> tuple | None:
     """A record's fields, in the order of FIELDS; None for a member of no data."""
@@ -191,13 +193,11 @@ RECORD_TYPES = [*[pa.string()] * 5, pa.int64(), pa.bool_(), pa.binary()]
 LEFT_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.binary()]
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """All records below ``path``; see RECORD for the columns."""
-    ranges = (
+def _ranges(spark: SparkSession, path: str) -> DataFrame:
+    """``path, block, piece``: what stands between two magics, by range of a file."""
+    return (
         spark.read.option("encoding", "ISO-8859-1")
         .option("lineSep", MAGIC.decode("latin-1"))
-        # Compressed files are read as they are.
-        .option("io.compression.codecs", "org.apache.hadoop.io.compress.BZip2Codec")
         .text(path)
         .select(
             F.col("_metadata.file_path").alias("path"),
@@ -206,11 +206,33 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         )
     )
 
+
+def _wholes(spark: SparkSession, path: str) -> DataFrame:
+    """The same of whole files, one range each."""
+
+    @F.arrow_udf("array<binary>")
+    def pieces(column: pa.Array) -> pa.Array:
+        return pa.array([c.split(MAGIC) for c in column.to_pylist()], pa.list_(pa.binary()))
+
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("path", F.lit(0).cast("long").alias("block"), F.explode(pieces("content")).alias("piece"))
+
+
+def read_archives(spark: SparkSession, path: str, *, split: bool = True) -> DataFrame:
+    """All records below ``path``; see RECORD for the columns.
+
+    Spark inflates files named ``.gz`` before anyone sees their members, so these are
+    refused; ``split=False`` reads them, or any files, one task and up to 2 GB each.
+    """
+    ranges = _ranges(spark, path) if split else _wholes(spark, path)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members, at, place, sure = _Members(), None, 0, False
         for batch in batches:
             done, left = [], []
             for file, block, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if split and file.endswith(".gz"):
+                    raise ValueError(f"{file}: read it with split=False")
                 if (file, block) != at:
                     left += members.rest()
                     at, place, sure = (file, block), 0, block == 0
@@ -219,14 +241,15 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     if piece:  # before the first magic of a file
                         left.append(((file, block, 0), piece))
                     continue
-                content, given_up = members.feed((*at, place), MAGIC + piece)
-                left += given_up
-                if content is not None and (row := _parsed(content)):
-                    done.append((*row, None, None, None, None))
-                    sure = True
-                elif content is not None and not sure:
-                    # A member of no data, or what looks like one in a record begun before.
-                    left.append(((*at, place), MAGIC + piece))
+                ended, lost = members.feed(((*at, place), MAGIC + piece))
+                left += lost
+                for content, *end in ended:
+                    if row := _parsed(content):
+                        done.append((*row, None, None, None, None))
+                        sure = True
+                    elif not sure:
+                        # A member of no data, or what looks like one in a record begun before.
+                        left.append(end)
             yield _batch([*done, *[(*[None] * 8, *tag, p) for tag, p in left]], NAMES, TYPES)
         yield _batch([(*[None] * 8, *tag, p) for tag, p in members.rest()], NAMES, TYPES)
 
@@ -236,13 +259,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     def join(table: pa.Table) -> pa.Table:
         table = table.sort_by([("block", "ascending"), ("place", "ascending")])
-        members, rows, lost = _Members(), [], []
-        for piece in table.column("piece").to_pylist():
-            content, given_up = members.feed(None, piece)
-            lost += given_up
-            if content is not None and (row := _parsed(content)):
-                rows.append(row)
-        lost += members.rest()
+        members = _Members()
+        done, lost = members.feed(*((None, p) for p in table.column("piece").to_pylist()))
+        for part, more in zip((done, lost), members.finish(), strict=True):
+            part += more
+        rows = [row for content, *_ in done if (row := _parsed(content))]
         rows += [(None, "damaged", None, None, None, len(p), None, p) for _, p in lost]
         return pa.Table.from_batches([_batch(rows, FIELDS, RECORD_TYPES)])
 

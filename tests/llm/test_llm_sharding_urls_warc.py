@@ -198,12 +198,17 @@ def test_the_magic_inside_a_member_and_broken_members(spark, tmp_path):
 
     tricky = [warc.MAGIC * 3 + b"x" * 700 + warc.MAGIC + bytes(i) + warc.EMPTY_MEMBER for i in range(9)]
     whole = [member(i, p) for i, p in enumerate(tricky)]
+    (tmp_path / "a.warc").write_bytes(b"".join(whole))
     (tmp_path / "a.warc.gz").write_bytes(b"".join(whole))
+    rows = warc.read_archives(spark, str(tmp_path / "a.warc.gz"), split=False).collect()
+    assert sorted(bytes(r.payload) for r in rows) == sorted(tricky)
+    with pytest.raises(Exception, match="split=False"):
+        warc.read_archives(spark, str(tmp_path / "a.warc.gz"))
     (tmp_path / "b.warc").write_bytes(b"junk" + whole[0] + whole[1][:-300] + whole[2])
     for split in ("128m", "300"):
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
         try:
-            rows = warc.read_archives(spark, str(tmp_path / "a.warc.gz")).collect()
+            rows = warc.read_archives(spark, str(tmp_path / "a.warc")).collect()
             assert sorted(bytes(r.payload) for r in rows) == sorted(tricky) and all(r.verified for r in rows)
             rows = warc.read_archives(spark, str(tmp_path / "b.warc")).collect()
             good = [bytes(r.payload) for r in rows if r.record_type == "response"]
