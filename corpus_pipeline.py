@@ -52,12 +52,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def in_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with ``pieces``, their number, and whether they decode to the text."""
-    model = pieces.read_model(MODEL)
-    docs = docs.withColumn("pieces", pieces.encoded(spark, F.col("text"), model))
-    back = pieces.decoded(spark, F.col("pieces"), model)
-    return docs.withColumns(
-        {"n_pieces": F.size("pieces"), "round_trip": back.eqNullSafe(F.col("text"))}
-    )
+    return pieces.with_pieces(docs, pieces.read_model(MODEL))
 
 
 STAGES = [

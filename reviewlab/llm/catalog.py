@@ -61,15 +61,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_pieces(spark: SparkSession, sf_dir: str, model_path: str = MODEL) -> DataFrame:
     """The pieces of every document, and whether they decode to its text."""
-    model = pieces.read_model(model_path)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = docs.withColumn("pieces", pieces.encoded(spark, F.col("text"), model))
-    return found.select(
-        "doc_id",
-        F.coalesce(F.size("pieces"), F.lit(0)).alias("n_pieces"),
-        "pieces",
-        pieces.decoded(spark, F.col("pieces"), model).eqNullSafe(F.col("text")).alias("round_trip"),
-    )
+    return pieces.with_pieces(docs, pieces.read_model(model_path), keep_text=False)
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,12 +6,12 @@ bounded length that is in the piece table. A unigram model takes the best path t
 the lattice (Viterbi); a BPE model, whose scores are ranks of merges, takes the path that
 its merges lead to. Either gives the ids of the published library.
 
-``encoded`` builds the lattices inside tasks, for the distinct words of a batch at once,
+``with_pieces`` builds the lattices inside tasks, for the distinct words of a batch at once,
 and remembers a bounded number of words; nothing is exchanged. ``encode_words`` is the
 same for unigram models in DataFrame functions: stretches exploded, equi-joined to the
 piece table, grouped by word, and folded by ``aggregate``.
 
-Null texts have null pieces, empty texts none. Signs that the table lacks become bytes if
+Null texts have null pieces (number 0), empty texts none. Signs that the table lacks become bytes if
 the model has byte pieces, else the unknown piece. Only models that do not rewrite texts
 (identity normalizer, blanks kept, a blank put in front) are taken.
 """
@@ -27,15 +27,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reviewlab.llm.words import mix, span_hashes, texts
 
 BLANK = "▁"
 # Words remembered by a task; words of more signs are folded one by one.
 REMEMBERED, LONG = 500_000, 40
-# Bytes of texts whose words are looked up together; words in a table of edges; texts
-# that are decoded together.
-TOGETHER, TABLE, LISTS = 3_000_000, 4096, 500
+# Bytes of texts whose words are looked up together; words in a table of edges.
+TOGETHER, TABLE = 3_000_000, 4096
 LOOKUP_BITS = 18
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -352,6 +352,69 @@ class Known:
         return ends[last] - ends[last - words], ids
 
 
+class Spelling:
+    """The bytes of each piece."""
+
+    def __init__(self, m: Model) -> None:
+        body = [p.replace(BLANK, " ").encode() if u else b"" for p, u in zip(m.pieces, m.usable, strict=True)]
+        body[m.unknown] = " ⁇ ".encode()
+        for value, i in enumerate(m.byte_ids):
+            body[i] = bytes([value])
+        self.table = np.frombuffer(b"".join(body), np.uint8)
+        self.size = np.array([len(b) for b in body])
+        self.start = np.cumsum(self.size) - self.size
+
+    def decode(self, count: np.ndarray, ids: np.ndarray) -> list[bytes]:
+        """The texts of lists of ids, without the blank that was put in front."""
+        size = self.size[ids]
+        line = self.table[stretches(self.start[ids], size)].tobytes()
+        stops = np.append(0, np.cumsum(size))[np.cumsum(count)].tolist()
+        return [line[a:b].removeprefix(b" ") for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+
+
+ADDED = "pieces array<int>, n_pieces int, round_trip boolean"
+
+
+def with_pieces(docs: DataFrame, model: Model, *, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with the ids of the pieces, their number, and whether they decode to the text.
+
+    Columns of these names are replaced. Texts are taken a few megabytes at a time.
+    """
+    added = StructType.fromDDL(ADDED)
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added.names])
+    place = docs.columns.index(text)
+    out = StructType([f for f in docs.schema if keep_text or f.name != text] + added.fields)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(**shared.value)
+        known, spelling = Known(Lattice(m)), Spelling(m)
+        for batch in batches:
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy())
+            cuts = np.flatnonzero(np.diff(sizes // TOGETHER)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                if lo == hi:
+                    continue
+                part = batch.slice(lo, hi - lo)
+                column = part.column(place)
+                bodies = [b"" if b is None else b.tobytes() for b in texts(column)]
+                count, ids = known.encode(bodies)
+                same = [a == b for a, b in zip(spelling.decode(count, ids), bodies, strict=True)]
+                offsets = pa.array(np.append(0, np.cumsum(count)).astype(np.int32))
+                kept = [part.column(i) for i in range(part.num_columns) if keep_text or i != place]
+                yield pa.record_batch(
+                    [
+                        *kept,
+                        pa.ListArray.from_arrays(offsets, pa.array(ids), mask=column.is_null()),
+                        pa.array(count, pa.int32()),
+                        pa.array(same, pa.bool_()),
+                    ],
+                    out.names,
+                )
+
+    return docs.mapInArrow(work, out)
+
+
 def encoded(spark: SparkSession, text: Column, model: Model) -> Column:
     """The ids of the pieces of each text."""
     shared = spark.sparkContext.broadcast(vars(model))
@@ -360,22 +423,9 @@ def encoded(spark: SparkSession, text: Column, model: Model) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Known(Lattice(Model(**shared.value)))
         for column in batches:
-            counts, ids = [], []
-            held: list[bytes] = []
-            size = 0
-            for body in [*texts(column), None]:
-                held.append(b"" if body is None else body.tobytes())
-                size += len(held[-1])
-                if size > TOGETHER:
-                    for out, part in zip((counts, ids), known.encode(held), strict=True):
-                        out.append(part)
-                    held, size = [], 0
-            for out, part in zip((counts, ids), known.encode(held), strict=True):
-                out.append(part)
-            offsets = np.append(0, np.cumsum(np.concatenate(counts)[: len(column)])).astype(np.int32)
-            yield pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(np.concatenate(ids)), mask=column.is_null()
-            )
+            count, ids = known.encode([b"" if b is None else b.tobytes() for b in texts(column)])
+            offsets = pa.array(np.append(0, np.cumsum(count)).astype(np.int32))
+            yield pa.ListArray.from_arrays(offsets, pa.array(ids), mask=column.is_null())
 
     return encode(text)
 
@@ -386,37 +436,15 @@ def decoded(spark: SparkSession, ids: Column, model: Model) -> Column:
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        m = Model(**shared.value)
-        body = [p.replace(BLANK, " ").encode() if u else b"" for p, u in zip(m.pieces, m.usable, strict=True)]
-        body[m.unknown] = " ⁇ ".encode()
-        for value, i in enumerate(m.byte_ids):
-            body[i] = bytes([value])
-        table = np.frombuffer(b"".join(body), np.uint8)
-        size = np.array([len(b) for b in body])
-        start = np.cumsum(size) - size
+        spelling = Spelling(Model(**shared.value))
         for column in batches:
-            out: list = []
-            for lo in range(0, len(column), LISTS):
-                part = column.slice(lo, LISTS)
-                flat = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                line = table[stretches(start[flat], size[flat])]
-                bounds = np.append(0, np.cumsum(size[flat]))
-                ends = np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy())
-                stops = bounds[ends]
-                starts = np.append(0, stops[:-1])
-                # The blank that was put in front.
-                keep = np.ones(len(line), bool)
-                full = starts[starts < stops]
-                keep[full[line[full] == 32]] = False
-                stops = np.append(0, np.cumsum(keep))[stops]
-                text = line[keep].tobytes()
-                starts = np.append(0, stops[:-1]).tolist()
-                missing = part.is_null().to_pylist()
-                out += [
-                    None if gone else text[a:b].decode("utf-8", "replace")
-                    for a, b, gone in zip(starts, stops.tolist(), missing, strict=True)
-                ]
-            yield pa.array(out, pa.string())
+            count = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            found = spelling.decode(count, column.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+            missing = column.is_null().to_pylist()
+            yield pa.array(
+                [None if gone else t.decode("utf-8", "replace") for t, gone in zip(found, missing, strict=True)],
+                pa.string(),
+            )
 
     return decode(ids)
 

@@ -104,14 +104,20 @@ def test_decoding_gives_the_text_back(spark, models):
     assert ids.where("false").count() == 0
 
 
-def test_words_are_remembered_within_a_bound(spark, models, monkeypatch):
+def test_pieces_by_small_parts_with_a_bound_on_words(spark, models, monkeypatch):
     model = pieces.read_model(models["bpe"])
     monkeypatch.setattr(pieces, "REMEMBERED", 2)
     monkeypatch.setattr(pieces, "TOGETHER", 10)
     library = sentencepiece.SentencePieceProcessor(model_file=models["bpe"])
-    df = spark.createDataFrame([(t,) for t in ODD], "text string")
-    found = df.select("text", pieces.encoded(spark, F.col("text"), model).alias("ids")).collect()
-    assert all(r.ids == library.encode(r.text) for r in found)
+    rows = [(i, t, "old") for i, t in enumerate([*ODD, None, *ODD])]
+    df = spark.createDataFrame(rows, "n int, text string, pieces string")
+    found = pieces.with_pieces(df, model).collect()
+    assert [tuple(r)[:2] for r in found] == [r[:2] for r in rows]
+    for r in found:
+        ids = None if r.text is None else library.encode(r.text)
+        assert (r.pieces, r.n_pieces) == (ids, len(ids or ()))
+        assert r.round_trip == (pieces.BLANK not in (r.text or ""))
+    assert pieces.with_pieces(df.where("false"), model, keep_text=False).columns == ["n", "pieces", "n_pieces", "round_trip"]
 
 
 def test_languages_on_held_out_texts(spark):
