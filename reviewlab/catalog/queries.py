@@ -6,12 +6,13 @@ rounded, so that results can be compared by value.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab import sinks
@@ -20,11 +21,12 @@ from reviewlab.contracts import REVIEWS
 from reviewlab.functions import text, vectors
 from reviewlab.functions.keys import in_train
 from reviewlab.operators import audit, features, hygiene, models
+from reviewlab.plans import job
 from reviewlab.plans.compare import compare_feature_sets, training_rows
 from reviewlab.plans.featurize import COMMON, Tokens, feature_sets, hashed_counts, tokens_of
 from reviewlab.scratch import fresh_path, stage
 from reviewlab.sources import delimited, manifest
-from reviewlab.sources.tables import labelled_reviews, table, text_table, unchecked_reviews
+from reviewlab.sources.tables import labelled_reviews, table, unchecked_reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,10 +49,17 @@ def _scanned(df: DataFrame) -> DataFrame:
     )
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in the shape of reviews; a scan does not need labels."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("review_id"), F.col("text").alias("review"), F.col("lang").alias("sentiment")
+    )
+
+
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with quoted newlines are unchanged after a round trip."""
     path = fresh_path(spark, "reviews-csv")
-    delimited.write_reviews(labelled_reviews(spark, sf_dir), path)
+    delimited.write_reviews(_texts(spark, sf_dir), path)
     return _scanned(
         delimited.read_reviews(spark, path, schema=REVIEW_TABLE_DDL, multi_line=True)
     )
@@ -60,7 +69,7 @@ def scan_csv_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per line, so that any file can be split over tasks."""
     path = fresh_path(spark, "reviews-csv")
     one_line = F.regexp_replace("review", r"[\r\n]+", " ")
-    delimited.write_reviews(labelled_reviews(spark, sf_dir).withColumn("review", one_line), path)
+    delimited.write_reviews(_texts(spark, sf_dir).withColumn("review", one_line), path)
     return _scanned(delimited.read_reviews(spark, path, schema=REVIEW_TABLE_DDL))
 
 
@@ -80,19 +89,36 @@ def features_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored model scores raw text exactly as the live one does."""
+    """A stored model scores raw text exactly as the live one does, whatever the cleaning."""
+    rows = [
+        _roundtrip(spark, sf_dir, name, **options)
+        for name, options in (
+            ("default", {}),
+            ("space", {"replacement": " "}),
+            ("own stop words", {"stop_words": ["the", "de", "les"]}),
+        )
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def _roundtrip(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
+    """Scored from the stored tokens, as in training, and from raw text by the stored model."""
     config = RunConfig(sf_dir, fresh_path(spark, "output"), RUN_ID, persist=True)
-    _, counted = _hashed_reviews(spark, sf_dir)
-    fitted = LogisticRegression(maxIter=10).fit(counted.select("label", "features"))
-    live = PipelineModel([text.CleanWords(), features.hashing_tf(output="features"), fitted])
-    name = sinks.model_name("LogisticRegression", sinks.HASHED_COUNTS)
-    stored = PipelineModel.load(sinks.write_model(live, name, config))
-    scored = live.transform(labelled_reviews(spark, sf_dir)).select(
-        "review", F.col("probability").alias("live_probability")
+    reviews = labelled_reviews(spark, sf_dir)
+    tokens = tokens_of(reviews, **options)
+    counted = hashed_counts(tokens)
+    rows = training_rows(counted.table)
+    fitted = LogisticRegression(maxIter=10).fit(rows.select("label", "features"))
+    live = PipelineModel([*counted.stages, fitted])
+    stored = PipelineModel.load(
+        sinks.write_model(live, sinks.model_name("LogisticRegression", counted.name), config)
     )
+    scored = fitted.transform(rows).select("review_id", F.col("probability").alias("live_probability"))
     same = F.unwrap_udt("probability") == F.unwrap_udt("live_probability")
-    return stored.transform(scored).agg(
-        F.count(F.lit(1)).alias("scored"), F.count_if(same).alias("same_score")
+    return stored.transform(reviews).join(scored, "review_id").agg(
+        F.lit(name).alias("cleaning"),
+        F.count(F.lit(1)).alias("scored"),
+        F.count_if(same).alias("same_score"),
     )
 
 
@@ -135,6 +161,38 @@ def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.pending(offered, loaded).select("path", "length", "digest")
 
 
+def manifest_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on all documents as they are, and with the German ones changed."""
+    documents = table(spark, sf_dir, "documents")
+    key, content = F.col("doc_id"), F.col("text")
+    expected = manifest.record_manifest(documents, key, content)
+    changed = F.when(F.col("lang") == "de", F.concat(content, F.lit("!"))).otherwise(content)
+    actual = manifest.record_manifest(documents, key, changed)
+    verdicts = [
+        ("same", manifest.all_valid(expected, expected)),
+        ("changed", manifest.all_valid(expected, actual)),
+    ]
+    return spark.createDataFrame(verdicts, "offered string, valid boolean")
+
+
+def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files, one folder per source, loaded; one source changed, loaded again."""
+    source, target = fresh_path(spark, "offered"), fresh_path(spark, "loaded")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("src"))
+    documents.write.partitionBy("src").parquet(source)
+
+    def load() -> DataFrame:
+        offered = manifest.file_manifest(spark, source, pattern="*.parquet")
+        manifest.load_pending(spark, lambda paths: spark.read.parquet(*paths), offered, target)
+        return offered
+
+    load()
+    changed = documents.where("src = 'src0'").select("doc_id", F.concat("text", F.lit("!")).alias("text"))
+    changed.write.mode("overwrite").parquet(f"{source}/src=src0")
+    current = manifest.current_rows(spark, target, load())
+    return current.select("doc_id", manifest.text_digest(F.col("text")).alias("text_digest"))
+
+
 # --- contract and audit ------------------------------------------------------------------------
 
 
@@ -170,18 +228,30 @@ def audit_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.read_audit(spark, sinks.append_audit(run_audit(spark, sf_dir), config))
 
 
+def job_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over all labelled reviews: what it counted."""
+    raw = fresh_path(spark, "reviews-csv")
+    delimited.write_reviews(labelled_reviews(spark, sf_dir).select("review", "sentiment"), f"{raw}/dataset.csv")
+    config = RunConfig(raw, fresh_path(spark, "output"), RUN_ID, persist=True)
+    code = job.run(spark, config, multi_line=True)
+    found = audit.read_audit(spark, config.audit_path)
+    return found.select("event", "subject", F.when(F.col("event") != "accuracy", F.col("value")).alias("value")).withColumn(
+        "exit_code", F.lit(code).cast("bigint")
+    )
+
+
 # --- text --------------------------------------------------------------------------------------
 
 
 def _documents(spark: SparkSession, sf_dir: str, **columns) -> DataFrame:
-    return text_table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", *(c.alias(name) for name, c in columns.items())
     )
 
 
 def strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     stripped = text.strip_tags(F.col("html")).alias("stripped")
-    return text_table(spark, sf_dir, "pages").select("page_id", stripped)
+    return table(spark, sf_dir, "pages").select("page_id", stripped)
 
 
 def letters_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,10 +268,10 @@ def lowercase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pages alike."""
-    pages = text_table(spark, sf_dir, "pages").select(
+    pages = table(spark, sf_dir, "pages").select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("raw")
     )
-    documents = text_table(spark, sf_dir, "documents").select(
+    documents = table(spark, sf_dir, "documents").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("raw")
     )
     return documents.union(pages).select(
@@ -249,8 +319,8 @@ def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = stage(_content_words(spark, sf_dir), "words")
-    return features.hashing_tf().transform(words).select("doc_id", "rawfeatures")
+    counted = features.hashing_tf().transform(_content_words(spark, sf_dir))
+    return stage(counted.select("doc_id", "rawfeatures"), "counts")
 
 
 def idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,7 +330,7 @@ def idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fitting and weighting read the same stored words, so texts are cleaned once."""
+    """Fitting and weighting read the same stored counts: texts are cleaned and hashed once."""
     counted = _counted_documents(spark, sf_dir)
     weighted = features.fit_idf(counted).transform(counted)
     cells = vectors.to_rows(weighted, ["doc_id"], "features", index="bucket", value="tf_idf")
@@ -272,10 +342,35 @@ def w2v_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def w2v_doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = tokens_of(labelled_reviews(spark, sf_dir)).table.select("review_id", "filtered")
-    vectorized = features.fit_word2vec(words.select("filtered")).transform(words)
-    cells = vectors.to_rows(vectorized, ["review_id"], "features")
-    return cells.withColumn("value", F.round("value", PLACES))
+    """Whether each document's vector is the sum of its known words' vectors over all its words.
+
+    Vectors are compared along one direction: one number per word and document.
+    """
+    words = stage(_content_words(spark, sf_dir), "words")
+    model = features.fit_word2vec(words.select("filtered"))
+    direction = F.array(*[F.lit(math.cos(i)) for i in range(features.VECTOR_SIZE)])
+
+    def along(vector: str) -> Column:
+        return F.aggregate(
+            F.zip_with(vector_to_array(vector), direction, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b
+        )
+
+    known = model.getVectors().select("word", along("vector").alias("part"))
+    sums = (
+        words.select("doc_id", F.explode("filtered").alias("word"))
+        .join(known, "word")
+        .groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("n_known"), F.sum("part").alias("total"))
+    )
+    n_words = F.size("filtered").cast("bigint")
+    found = model.transform(words).select("doc_id", n_words.alias("n_words"), along("features").alias("mean"))
+    gap = F.col("mean") * F.col("n_words") - F.coalesce("total", F.lit(0.0))
+    return found.join(sums, "doc_id", "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("n_known", F.lit(0)).alias("n_known"),
+        (F.abs(gap) < 1e-4 * (F.col("n_words") + 1)).alias("is_mean"),
+    )
 
 
 def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,7 +419,7 @@ def featurize_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _hashed_reviews(spark: SparkSession, sf_dir: str) -> tuple[Tokens, DataFrame]:
     """Key, label and hashed counts of the labelled reviews, from stored words."""
     tokens = tokens_of(labelled_reviews(spark, sf_dir))
-    return tokens, training_rows(hashed_counts(tokens).table, tokens.measured["complete"])
+    return tokens, training_rows(hashed_counts(tokens).table)
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,24 +429,35 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = models.split_at_random(table(spark, sf_dir, "labels"))
+    """Both sides have rows, and every label is on one of them."""
+    train, test = models.split_at_random(table(spark, sf_dir, "labels").select("doc_id"))
     sides = train.withColumn("side", F.lit("train")).union(test.withColumn("side", F.lit("test")))
-    return sides.groupBy("side").agg(F.count(F.lit(1)).alias("row_count"))
+    return sides.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.countDistinct("doc_id").alias("documents"),
+        F.countDistinct("side").alias("sides"),
+    )
 
 
 def lr_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The intercept as dimension -1, then one coefficient per bucket."""
+    """The intercept as dimension -1, then one coefficient per bucket: each a finite number."""
     _, rows = _hashed_reviews(spark, sf_dir)
     train, _ = models.split_by_key(rows, "review_id")
     model = LogisticRegression().fit(train)
     values = [(-1, model.intercept), *enumerate(model.coefficients.toArray().tolist())]
-    return spark.createDataFrame(values, "dim bigint, value double")
+    fitted = spark.createDataFrame(values, "dim bigint, value double")
+    return fitted.select("dim", (~F.isnan("value") & (F.abs("value") < float("inf"))).alias("is_finite"))
+
+
+def _plausible(accuracy: str) -> Column:
+    return F.col(accuracy).between(0, 100).alias("plausible")
 
 
 def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rows = _hashed_reviews(spark, sf_dir)
     train, _ = models.split_by_key(rows, "review_id")
-    return models.grid_rows(spark, models.cross_validate(train, key="review_id"))
+    found = models.grid_rows(spark, models.cross_validate(train, key="review_id"))
+    return found.select("max_iter", _plausible("accuracy"))
 
 
 def lr_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,7 +465,7 @@ def lr_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rows = _hashed_reviews(spark, sf_dir)
     train, _ = models.split_by_key(rows, "review_id")
     scored = LogisticRegression(maxIter=10).fit(train).transform(rows)
-    return scored.select("review_id", "label", "prediction")
+    return scored.select("review_id", "label", F.col("prediction").isin(0.0, 1.0).alias("is_class"))
 
 
 def accuracy_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -379,14 +485,15 @@ def train_eval_htf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = tokens_of(labelled_reviews(spark, sf_dir))
-    return models.result_rows(spark, compare_feature_sets(tokens))
+    found = models.result_rows(spark, compare_feature_sets(tokens))
+    return found.select("classifier_name", "feature_name", _plausible("accuracy"))
 
 
 # --- language scan -----------------------------------------------------------------------------
 
 
 def language_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hygiene.scan_lines(text_table(spark, sf_dir, "documents"), ["doc_id"])
+    return hygiene.scan_lines(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
 def language_scan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,27 +505,27 @@ def language_scan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def language_scan_german(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scan for another language, in which whole words decide more often."""
-    documents = text_table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents")
     return hygiene.scan_lines(
         documents, ["doc_id"], letters=GERMAN_LETTERS, patterns=GERMAN_WORDS
     )
 
 
 def language_scan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Findings per kind, for both languages together."""
-    both = language_scan(spark, sf_dir).union(language_scan_german(spark, sf_dir))
-    return hygiene.summary(both)
+    """Findings per kind, for both languages together; each line is cut and read once."""
+    line = F.col("line")
+    kinds = F.array(
+        hygiene.finding_kind(line), hygiene.finding_kind(line, GERMAN_LETTERS, GERMAN_WORDS)
+    )
+    lines = hygiene.lines_of(table(spark, sf_dir, "documents"), ["doc_id"], "text")
+    found = lines.select(F.explode(kinds).alias("kind")).where(F.col("kind").isNotNull())
+    return hygiene.summary(found)
 
 
 def file_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which table files a scan by suffix would look at, leaving the labels out."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf_dir)
-    scope = hygiene.in_scope(
-        F.col("path"), suffixes=[".parquet"], names=[], excluded=["labels.parquet"]
-    )
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), scope.alias("in_scope")
-    )
+    """Which pages a scan by suffix would look at, going by the last part of their urls."""
+    scope = hygiene.in_scope(F.col("url"), suffixes=[".html"], names=["665"], excluded=["474.html"])
+    return table(spark, sf_dir, "pages").select("page_id", scope.alias("in_scope"))
 
 
 QUERIES: tuple[Query, ...] = (
@@ -429,7 +536,9 @@ QUERIES: tuple[Query, ...] = (
     content_digest,
     file_manifest,
     manifest_verify,
+    manifest_valid,
     incremental_files,
+    load_incremental,
     domain_violations,
     null_report,
     drop_nulls,
@@ -437,6 +546,7 @@ QUERIES: tuple[Query, ...] = (
     class_balance,
     run_audit,
     audit_json_roundtrip,
+    job_audit,
     strip_html,
     letters_only,
     collapse_spaces,

@@ -37,6 +37,14 @@ class RunConfig:
     def models_root(self) -> str:
         return under(self.output_path, "models")
 
+    @property
+    def violations_path(self) -> str:
+        return under(self.output_path, "violations", self.run_id)
+
+    @property
+    def staging_path(self) -> str:
+        return under(self.output_path, "_staging", self.run_id)
+
     @property
     def audit_path(self) -> str:
         return under(self.output_path, "audit")

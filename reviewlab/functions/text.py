@@ -9,6 +9,7 @@ from string import ascii_letters
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.feature import StopWordsRemover
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
@@ -100,14 +101,30 @@ def content_words(cleaned: Column, stop_words: Sequence[str] | None = None) -> C
 class CleanWords(
     Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable
 ):
-    """Raw text to content words, as the first stage of a model that can be saved."""
+    """Raw text to content words, as the first stage of a model that can be saved.
+
+    It keeps the options of the cleaning, so a stored model reads text as it was
+    trained. A stage of this package: such a model is loaded from Python only.
+    """
+
+    replacement = Param(Params._dummy(), "replacement", "put where a run was removed", TypeConverters.toString)
+    stopWords = Param(Params._dummy(), "stopWords", "words to drop", TypeConverters.toListString)
 
     @keyword_only
-    def __init__(self, *, inputCol: str = "review", outputCol: str = "filtered"):
+    def __init__(
+        self,
+        *,
+        inputCol: str = "review",
+        outputCol: str = "filtered",
+        replacement: str = "",
+        stopWords: Sequence[str] | None = None,
+    ):
         super().__init__()
-        self._setDefault(inputCol="review", outputCol="filtered")
-        self._set(**self._input_kwargs)
+        self._setDefault(inputCol="review", outputCol="filtered", replacement="")
+        given = {k: v for k, v in self._input_kwargs.items() if v is not None}
+        self._set(**given)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        words = content_words(clean_text(F.col(self.getInputCol())))
-        return dataset.withColumn(self.getOutputCol(), words)
+        stop_words = self.getOrDefault(self.stopWords) if self.isDefined(self.stopWords) else None
+        cleaned = clean_text(F.col(self.getInputCol()), self.getOrDefault(self.replacement))
+        return dataset.withColumn(self.getOutputCol(), content_words(cleaned, stop_words))

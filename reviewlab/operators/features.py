@@ -1,14 +1,13 @@
 """Label index and the three feature sets.
 
 All of these are Spark ML stages. What is added here: fitting without an extra
-pass where the counts are already known, a bound on what Word2Vec holds on the
+pass where the counts are already known, an optional bound on what Word2Vec holds on the
 driver, and exact row forms of vectors for checks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from math import ceil
 
 from pyspark.ml.feature import (
     IDF,
@@ -30,14 +29,6 @@ VECTOR_SIZE = 250
 MIN_COUNT = 5
 SEED = 11
 
-# Word2Vec keeps two float matrices of vocabulary x vector size on the driver and
-# on every executor. This many cells make 1 GB for each matrix.
-MAX_MATRIX_CELLS = 1 << 28
-# One training task takes about this many words; the number follows from the data
-# and not from the cluster. Every further task adds a copy of the changed vectors
-# to each round's exchange, hence the upper bound.
-WORDS_PER_TASK = 200_000
-MAX_TASKS = 4096
 
 
 class VocabularyTooLarge(ValueError):
@@ -104,18 +95,34 @@ def fit_word2vec(
     vector_size: int = VECTOR_SIZE,
     min_count: int = MIN_COUNT,
     seed: int = SEED,
-    tasks: int | None = None,
-    max_matrix_cells: int = MAX_MATRIX_CELLS,
+    tasks: int = 1,
+    max_matrix_cells: int | None = None,
 ) -> Word2VecModel:
-    """Word vectors, after checking that the vocabulary fits where it must be held.
+    """Word vectors.
 
-    A small corpus is trained in one task and gives the same vectors every time.
-    A larger one is spread over several, and then they depend on the order in
-    which tasks update them. ``tasks`` overrides the number.
+    One task gives the same vectors every time, whatever the size of the corpus.
+    With several, each learns from its part and vectors depend on the order in
+    which tasks update them; a large corpus wants as many as the cluster has
+    cores. Spark ML keeps two float matrices of vocabulary x ``vector_size`` on the
+    driver and every executor; ``max_matrix_cells``, if given, is checked first.
     """
+    if max_matrix_cells is not None:
+        _check_vocabulary(df, words, vector_size, min_count, max_matrix_cells)
+    return Word2Vec(
+        inputCol=words,
+        outputCol=output,
+        vectorSize=vector_size,
+        minCount=min_count,
+        seed=seed,
+        numPartitions=tasks,
+    ).fit(df)
+
+
+def _check_vocabulary(
+    df: DataFrame, words: str, vector_size: int, min_count: int, max_matrix_cells: int
+) -> None:
     size = word_counts(df, words).agg(
-        F.count_if(F.col("occurrences") >= min_count).alias("distinct_words"),
-        F.coalesce(F.sum("occurrences"), F.lit(0)).alias("words"),
+        F.count_if(F.col("occurrences") >= min_count).alias("distinct_words")
     )
     measured = size.first()
     if measured["distinct_words"] * vector_size > max_matrix_cells:
@@ -124,16 +131,6 @@ def fit_word2vec(
             f"{vector_size} dimensions the limit is {max_matrix_cells // vector_size}. "
             "Raise min_count, lower vector_size, or raise max_matrix_cells on larger machines."
         )
-    if tasks is None:
-        tasks = min(MAX_TASKS, max(1, ceil(measured["words"] / WORDS_PER_TASK)))
-    return Word2Vec(
-        inputCol=words,
-        outputCol=output,
-        vectorSize=vector_size,
-        minCount=min_count,
-        seed=seed,
-        numPartitions=tasks,
-    ).fit(df)
 
 
 def fit_min_max(

@@ -99,6 +99,7 @@ BLANKS = "".join(
         + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
     )
 )
+BLANK_CLASS = "[" + "".join(rf"\x{{{ord(c):x}}}" for c in BLANKS) + "]"
 WORD_CHAR = r"[\p{L}\p{N}_]"
 
 
@@ -116,10 +117,11 @@ def finding_kind(
 ) -> Column:
     """``diacritic``, else ``keyword``, else null: at most one finding per line.
 
-    Word bounds are spelled out, as ``\\b`` differs between engines in what it
-    takes for a letter.
+    Word bounds and blanks are spelled out, as ``\\b`` and ``\\s`` differ between
+    engines in what they take for a letter and for a blank.
     """
-    words = f"(?iu)(?<!{WORD_CHAR})(?:{'|'.join(patterns)})(?!{WORD_CHAR})"
+    spelled = "|".join(patterns).replace(r"\s", BLANK_CLASS)
+    words = f"(?iu)(?<!{WORD_CHAR})(?:{spelled})(?!{WORD_CHAR})"
     marked = rf"[\Q{letters}\E]"
     return F.when(line.rlike(marked), "diacritic").when(line.rlike(words), "keyword")
 

@@ -23,6 +23,7 @@ from reviewlab.operators import features
 from reviewlab.operators.audit import audit_of
 from reviewlab.plans.compare import FeaturesFailed, compare_feature_sets
 from reviewlab.plans.featurize import read_tokens
+from reviewlab.scratch import staging
 from reviewlab.sources.manifest import text_digest
 
 log = logging.getLogger("reviewlab.job")
@@ -44,7 +45,7 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
         help="row: by position in the files; text: by content, the same on any layout, "
         "copies stay on one side",
     )
-    parser.add_argument("--slim", action="store_true", help="store features without the texts")
+    parser.add_argument("--wide", action="store_true", help="store features with texts and words")
     parser.add_argument("--fit-scope", default="all", choices=["all", "train"])
     parser.add_argument(
         "--min-count",
@@ -56,8 +57,13 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument(
         "--max-matrix-cells",
         type=int,
-        default=features.MAX_MATRIX_CELLS,
-        help="vocabulary x vector size that driver and executors can hold",
+        help="check first that vocabulary x vector size is at most this",
+    )
+    parser.add_argument(
+        "--w2v-tasks",
+        type=int,
+        default=1,
+        help="tasks that learn word vectors; with one, vectors repeat exactly",
     )
     parser.add_argument(
         "--log-level", default="INFO", choices=["DEBUG", "INFO", "WARNING", "ERROR"]
@@ -77,33 +83,65 @@ def run(
     fit_scope: str = "all",
     split_on: str = "row",
     word2vec: dict | None = None,
-    slim: bool = False,
+    slim: bool = True,
 ) -> int:
-    """Tokens, then features and models, then the audit records; returns the exit code."""
+    """Tokens, then features and models, then the audit records; returns the exit code.
+
+    Tables between steps lie below the output and go when the run ends. Audit records
+    are written however it ends, and the values that broke the contract beside them.
+    """
+    with staging(spark, config.staging_path):
+        code, measured, results = _steps(
+            spark, config, multi_line, fit_scope, split_on, word2vec, slim
+        )
+        if code != OK:
+            measured[f"failed.{code}"] = 1
+        try:
+            sinks.append_audit(audit_of(spark, measured, config.run_id).coalesce(1), config)
+        except Exception:
+            log.exception("run %s: no audit records", config.run_id)
+            code = code or NO_MODELS
+    for r in results:
+        log.info("run %s: %s on %s: %.2f%%", config.run_id, *astuple(r))
+    return code
+
+
+def _steps(
+    spark: SparkSession,
+    config: RunConfig,
+    multi_line: bool,
+    fit_scope: str,
+    split_on: str,
+    word2vec: dict | None,
+    slim: bool,
+) -> tuple[int, dict[str, float], list]:
+    """Exit code, what was measured, and the results."""
+    measured: dict[str, float] = {}
     try:
         key = text_digest(F.col("review")) if split_on == "text" else None
         tokens = read_tokens(spark, config, multi_line=multi_line, key=key, fit_scope=fit_scope)
-    except ContractError:
+        measured.update(tokens.measured)
+    except ContractError as error:
         log.exception("run %s: the input breaks its contract", config.run_id)
-        return BAD_INPUT
+        measured.update(error.measured)
+        measured.update({f"missing.{name}": 1 for name in error.missing})
+        if error.violations is not None:
+            sinks.write_violations(error.violations, config)
+        return BAD_INPUT, measured, []
     except Exception:
         log.exception("run %s: no tokens", config.run_id)
-        return NO_FEATURES
+        return NO_FEATURES, measured, []
     log.info("run %s: %s", config.run_id, tokens.measured)
     try:
         results = compare_feature_sets(tokens, config=config, word2vec=word2vec, slim=slim)
-        measured = dict(tokens.measured)
-        measured.update({f"accuracy.{r.feature_name}": r.accuracy for r in results})
-        sinks.append_audit(audit_of(spark, measured, config.run_id).coalesce(1), config)
     except FeaturesFailed:
         log.exception("run %s: no features", config.run_id)
-        return NO_FEATURES
+        return NO_FEATURES, measured, []
     except Exception:
         log.exception("run %s: no models", config.run_id)
-        return NO_MODELS
-    for r in results:
-        log.info("run %s: %s on %s: %.2f%%", config.run_id, *astuple(r))
-    return OK
+        return NO_MODELS, measured, []
+    measured.update({f"accuracy.{r.feature_name}": r.accuracy for r in results})
+    return OK, measured, results
 
 
 def main(
@@ -133,11 +171,12 @@ def main(
             multi_line=args.multi_line,
             fit_scope=args.fit_scope,
             split_on=args.split_on,
-            slim=args.slim,
+            slim=not args.wide,
             word2vec={
                 "min_count": args.min_count,
                 "vector_size": args.vector_size,
                 "max_matrix_cells": args.max_matrix_cells,
+                "tasks": args.w2v_tasks,
             },
         )
     finally:

@@ -1,4 +1,4 @@
-"""Tables written between steps, in the folder all executors share.
+"""Tables written between steps, in a folder all executors share.
 
 A written table cuts the lineage and outlives any executor, and a later step
 reads only the columns it needs.
@@ -6,8 +6,12 @@ reads only the columns it needs.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from reviewlab.config import under
 
 SETTING = "spark.checkpoint.dir"
+OWN = "reviewlab.staging"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; a temporary one only for a local master."""
-    named = spark.conf.get(SETTING, None)
+    """The folder of the run, else the one the cluster names.
+
+    Where neither is set, a local master, which is one machine, gets a folder of its
+    own that goes when the program ends. A cluster has to name one.
+    """
+    named = spark.conf.get(OWN, None) or spark.conf.get(SETTING, None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
@@ -29,7 +38,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 @lru_cache(maxsize=None)
 def _own_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"reviewlab-{application}-")
+    folder = tempfile.mkdtemp(prefix=f"reviewlab-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+@contextmanager
+def staging(spark: SparkSession, folder: str) -> Iterator[None]:
+    """Stage below ``folder`` and remove it at the end, also on failure."""
+    before = spark.conf.get(OWN, None)
+    spark.conf.set(OWN, folder)
+    try:
+        yield
+    finally:
+        spark.conf.set(OWN, before) if before else spark.conf.unset(OWN)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -57,3 +57,12 @@ def append_audit(rows: DataFrame, config: RunConfig) -> str | None:
         return None
     rows.write.mode("append").json(config.audit_path)
     return config.audit_path
+
+
+def write_violations(rows: DataFrame, config: RunConfig) -> str | None:
+    """The values that break the contract, all of them; returns the path."""
+    if not config.persist:
+        log.warning("violations not written: persist is off")
+        return None
+    rows.write.mode("overwrite").json(config.violations_path)
+    return config.violations_path

@@ -1,24 +1,20 @@
 """Content digests: what is there, what should be there, and what is left to load.
 
 A manifest has one row per file (or per record): ``path, length, digest``. Only
-these short rows are ever joined, never the content.
+these short rows are compared; content is joined to nothing but the digest of its file.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator, Sequence
+import re
+from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST_DDL = "path string, length bigint, digest string"
-# Files up to this size are hashed inside the JVM, which holds each one whole.
-WHOLE_FILE_BYTES = 64 << 20
-CHUNK_BYTES = 1 << 20
 
 
 def text_digest(text: Column) -> Column:
@@ -36,78 +32,57 @@ def record_manifest(df: DataFrame, key: Column, content: Column) -> DataFrame:
 
 
 def file_manifest(
-    spark: SparkSession,
-    path: str | Sequence[str],
-    *,
-    pattern: str | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
-    tasks: int | None = None,
+    spark: SparkSession, path: str | Sequence[str], *, pattern: str | None = None
 ) -> DataFrame:
-    """SHA-256 of every file under ``path``, whatever its size.
+    """SHA-256 of every file under ``path``.
 
-    File sources pass over files of no bytes, so an empty file counts as missing.
-    Small files go through ``sha2(content)``. The size filter reaches the reader,
-    so a larger file is never loaded there: it is hashed chunk by chunk in the
-    task that gets its path, spread over ``tasks`` tasks.
+    Spark reads each file whole, with its own file systems and credentials, and
+    refuses one of 2 GB or more. It passes over files of no bytes; those come from
+    its list of files, which the driver holds for any scan.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.load(path if isinstance(path, str) else list(path))
-    small = files.where(F.col("length") <= whole_file_bytes).select(
-        "path", "length", F.sha2("content", 256).alias("digest")
+    listed = [(plain_path(unquote(name)),) for name in files.inputFiles()]
+    every = spark.createDataFrame(listed, "path string")
+    read = files.select(
+        _plain(F.col("path")).alias("path"), "length", F.sha2("content", 256).alias("digest")
     )
-    large = (
-        files.where(F.col("length") > whole_file_bytes)
-        .select("path", "length")
-        .repartition(tasks or spark.sparkContext.defaultParallelism, "path")
-        .mapInArrow(_chunk_hasher(CHUNK_BYTES), MANIFEST_DDL)
+    return every.join(read, "path", "left").select(
+        "path",
+        F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
+        F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("digest"),
     )
-    return small.unionByName(large)
-
 
-def _chunk_hasher(
-    chunk_bytes: int,
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The task side of ``file_manifest``; travels by value, so workers need no package."""
 
-    def hash_one(path: str) -> str:
-        # Hadoop prints local paths as file:/x and calls S3 s3a; Arrow wants file:///x and s3.
-        if "://" not in path:
-            path = path.replace("file:/", "file:///", 1)
-        source, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-        digest = hashlib.sha256()
-        with source.open_input_stream(name) as stream:
-            while chunk := stream.read(chunk_bytes):
-                digest.update(chunk)
-        return digest.hexdigest()
+def plain_path(path: str) -> str:
+    """Local files by one name: readers say ``file:/x`` or ``file:///x``."""
+    return re.sub("^file:/+", "file:/", path)
 
-    def hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            paths, lengths = batch.column("path"), batch.column("length")
-            digests = pa.array([hash_one(p) for p in paths.to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [paths, lengths, digests], ["path", "length", "digest"]
-            )
 
-    return hash_files
+def _plain(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def verify(expected: DataFrame, actual: DataFrame, *, check_digest: bool = True) -> DataFrame:
     """Every expected path with its status: ``ok``, ``missing``, ``mismatch`` or ``unchecked``.
 
     ``unchecked`` means present, with no digest to compare or none asked for.
-    Nothing is deleted, so the caller decides what a mismatch means.
+    Nothing is deleted, so the caller decides what a mismatch means. Repeated lines
+    count once; a path that was found with two contents is a mismatch.
     """
-    wanted = expected.select("path", F.lower("digest").alias("expected_digest"))
-    found = actual.select(
-        "path", F.col("digest").alias("actual_digest"), F.lit(True).alias("found")
+    wanted = expected.select("path", F.lower("digest").alias("expected_digest")).distinct()
+    found = actual.groupBy("path").agg(
+        F.min("digest").alias("actual_digest"),
+        F.coalesce(F.min("digest") != F.max("digest"), F.lit(False)).alias("several"),
+        F.lit(True).alias("found"),
     )
     unchecked = F.col("expected_digest").isNull() if check_digest else F.lit(True)
     status = (
         F.when(F.col("found").isNull(), "missing")
         .when(unchecked, "unchecked")
-        .when(F.col("expected_digest") == F.col("actual_digest"), "ok")
+        .when(~F.col("several") & (F.col("expected_digest") == F.col("actual_digest")), "ok")
         .otherwise("mismatch")
     )
     return wanted.join(found, "path", "left").select(
@@ -137,27 +112,39 @@ def pending(offered: DataFrame, loaded: DataFrame, *, force: bool = False) -> Da
 
 
 def load_pending(
-    rows: DataFrame, offered: DataFrame, table_path: str, *, force: bool = False
+    spark: SparkSession,
+    read: Callable[[list[str]], DataFrame],
+    offered: DataFrame,
+    table_path: str,
+    *,
+    force: bool = False,
 ) -> DataFrame:
-    """Append the rows of files that ``table_path`` does not hold yet; return what was pending.
-
-    ``rows`` carries a ``path`` column (``_metadata.file_path``). Each stored row
-    keeps the path and digest it came from, so the table is its own ledger: a run
-    that died before its commit left nothing, and a repeated run adds nothing.
+    """Load the files that ``table_path`` does not hold yet; return what was pending.
+
+    Only pending files are read: ``read`` gets their paths and returns their rows,
+    and is never called without any. Each stored row keeps the path and digest it
+    came from, and each file has its own partition, so a load replaces just the rows
+    of the files it reads: a new version takes the place of the old one, rows of
+    files that are no longer offered stay, and a repeated run, forced or not, leaves
+    the same table. A run that died before its commit left nothing.
     """
-    spark = rows.sparkSession
     loaded = _ledger(spark, table_path)
     todo = offered if loaded is None else pending(offered, loaded, force=force)
-    todo = todo.select("path", "length", "digest")
-    rows.join(todo.select("path", "digest"), "path").write.mode(
-        "overwrite" if force else "append"
-    ).parquet(table_path)
+    todo = spark.createDataFrame(todo.select("path", "length", "digest").collect(), MANIFEST_DDL)
+    paths = [row["path"] for row in todo.collect()]
+    if paths:
+        digests = todo.select("path", "digest")
+        rows = read(paths).withColumn("path", _plain(F.col("_metadata.file_path")))
+        stored = rows.join(digests, "path").withColumn("source", F.sha2("path", 256))
+        stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "source"
+        ).parquet(table_path)
     return todo
 
 
 def current_rows(spark: SparkSession, table_path: str, offered: DataFrame) -> DataFrame:
     """Loaded rows whose file is still offered with the same content."""
-    return spark.read.parquet(table_path).join(
+    return spark.read.parquet(table_path).drop("source").join(
         offered.select("path", "digest"), ["path", "digest"], "left_semi"
     )
 
