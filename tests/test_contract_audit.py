@@ -11,7 +11,9 @@ from reviewlab.contracts import REVIEW_SCHEMA, REVIEWS, ContractError
 from reviewlab.operators import audit
 
 DDL = "review string, sentiment string"
-NULLS = [("good", "positive"), (None, "negative"), ("ok", None), (None, None)]
+# Of eight rows, two lack the text, one the label, and one both.
+ROWS = [(f"text {i}", "positive") for i in range(4)]
+ROWS += [(None, "negative"), (None, "positive"), ("unlabelled", None), (None, None)]
 
 
 def test_contract_is_fixed():
@@ -27,22 +29,33 @@ def test_good_table_passes(spark):
 
 def test_missing_column(spark):
     df = spark.createDataFrame([("a",)], "review string")
-    with pytest.raises(ContractError, match="missing required columns: \\['sentiment'\\]"):
+    with pytest.raises(ContractError, match="no column sentiment among review") as caught:
         REVIEWS.check(df)
+    assert caught.value.missing == ("sentiment",) and caught.value.violations is None
 
 
 def test_bad_and_null_labels_are_violations_together(spark):
     df = spark.createDataFrame([("a", "neutral"), ("b", None), ("c", "neutral")], DDL)
-    with pytest.raises(ContractError, match="unexpected values") as caught:
+    with pytest.raises(ContractError, match="3 rows of 'sentiment' hold 2 values") as caught:
         REVIEWS.check(df)
-    assert caught.value.violations == (("sentiment", "neutral", 2), ("sentiment", None, 1))
+    found = {tuple(r) for r in caught.value.violations.collect()}
+    assert found == {("sentiment", "neutral", 2), ("sentiment", None, 1)}
+
+
+@pytest.mark.parametrize("n", [1, 50, 3000])
+def test_all_violations_are_kept_whatever_their_number(spark, n):
+    df = spark.range(n).selectExpr("'x' as review", "concat('label ', id) as sentiment")
+    with pytest.raises(ContractError) as caught:
+        REVIEWS.check(df)
+    assert caught.value.violations.count() == n
 
 
 def test_null_report(spark):
-    rows = audit.null_report(spark.createDataFrame(NULLS, DDL)).collect()
+    df = spark.createDataFrame(ROWS, DDL).withColumn("full", F.lit(1))
+    rows = audit.null_report(df).collect()
     assert {r["column_name"]: (r["null_count"], r["null_pct"]) for r in rows} == {
-        "review": (2, 50.0),
-        "sentiment": (2, 50.0),
+        "review": (3, 37.5),
+        "sentiment": (2, 25.0),
     }
     clean = spark.createDataFrame([("a", "positive")], DDL)
     assert audit.null_report(clean).collect() == []
@@ -50,37 +63,37 @@ def test_null_report(spark):
 
 
 def test_drop_and_count(spark):
-    df = spark.createDataFrame(NULLS, DDL)
-    assert [tuple(r) for r in audit.drop_nulls(df).collect()] == [("good", "positive")]
+    df = spark.createDataFrame(ROWS, DDL)
+    assert sorted(tuple(r) for r in audit.drop_nulls(df).collect()) == ROWS[:4]
     assert audit.row_counts(df).first().asDict() == {
-        "rows_before": 4,
-        "rows_after": 1,
-        "rows_dropped": 3,
+        "rows_before": 8,
+        "rows_after": 4,
+        "rows_dropped": 4,
     }
 
 
 def test_counts_in_one_pass(spark):
-    df = spark.createDataFrame([*NULLS, ("x", "neutral"), ("y", "negative")], DDL)
+    df = spark.createDataFrame([*ROWS, ("x", "neutral"), ("y", "negative")], DDL)
     named = audit.counts(["review", "sentiment"], {"sentiment": ["negative", "positive"]})
     assert audit.one_row(df, named).first().asDict() == {
-        "rows": 6,
-        "complete": 3,
-        "nulls.review": 2,
+        "rows": 10,
+        "complete": 6,
+        "nulls.review": 3,
         "nulls.sentiment": 2,
         "other.sentiment": 1,
         "class.sentiment.negative": 1,
-        "class.sentiment.positive": 1,
+        "class.sentiment.positive": 4,
     }
 
 
 def test_audit_rows_carry_the_run(spark):
-    df = spark.createDataFrame(NULLS, DDL)
+    df = spark.createDataFrame(ROWS, DDL)
     named = audit.counts(["review"])
     got = {tuple(r) for r in audit.audit_rows(df, named, "r1").collect()}
     assert got == {
-        ("r1", "rows", "", 4.0),
-        ("r1", "complete", "", 2.0),
-        ("r1", "nulls", "review", 2.0),
+        ("r1", "rows", "", 8.0),
+        ("r1", "complete", "", 5.0),
+        ("r1", "nulls", "review", 3.0),
     }
     measured = audit.one_row(df, named).first().asDict()
     assert {tuple(r) for r in audit.audit_of(spark, measured, "r1").collect()} == got
@@ -108,7 +121,7 @@ def test_class_balance(spark):
 
 def test_one_scan_for_all_counts(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.createDataFrame(NULLS, DDL).write.parquet(path)
+    spark.createDataFrame(ROWS, DDL).write.parquet(path)
     named = audit.counts(["review", "sentiment"], {"sentiment": ["positive"]})
     plan = audit.one_row(spark.read.parquet(path), named)._jdf.queryExecution().toString()
     assert plan.split("== Physical Plan ==")[1].count("FileScan") == 1

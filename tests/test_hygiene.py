@@ -52,6 +52,8 @@ def test_words_are_whole_and_lines_have_one_finding(spark):
         "toda segunda e toda semana",
         "",
         "ſenha",
+        "linha\u00a0de\u3000comando",
+        "toda\u2009\tsexta",
     ]
     assert scanned(spark, texts) == expected(texts)
 

@@ -39,7 +39,8 @@ def test_whole_run(spark, raw, tmp_path):
 
 def test_slim_run_stores_no_texts(spark, raw, tmp_path):
     config = RunConfig(raw, str(tmp_path / "out"), "run-2", persist=True)
-    assert job.run(spark, config, slim=True, word2vec={"vector_size": 4}) == job.OK
+    assert job.run(spark, config, word2vec={"vector_size": 4}) == job.OK
+    assert not (tmp_path / "out" / "_staging" / "run-2").exists()
     for name in sinks.FEATURE_SETS:
         stored = spark.read.parquet(f"{config.features_root}/{name}")
         assert set(stored.columns) == {"review_id", "sentiment", "label", "features"}
@@ -70,6 +71,19 @@ def test_wrong_header_and_wrong_label_break_the_contract(spark, tmp_path):
         assert job.run(spark, config) == job.BAD_INPUT
 
 
+def test_a_run_that_fails_leaves_its_counts_and_all_violations(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    lines = [f"text,{'positive' if i % 2 else f'label{i}'}" for i in range(60)]
+    (tmp_path / "raw" / "dataset.csv").write_text("\n".join(["review,sentiment", *lines]) + "\n")
+    config = RunConfig(str(tmp_path / "raw"), str(tmp_path / "out"), "r", persist=True)
+    assert job.run(spark, config) == job.BAD_INPUT
+    rows = {(r["event"], r["subject"]): r["value"] for r in read_audit(spark, config.audit_path).collect()}
+    assert rows["rows", ""] == 60 and rows["other", "sentiment"] == 30
+    assert rows["failed", str(job.BAD_INPUT)] == 1
+    assert spark.read.json(config.violations_path).count() == 30
+    assert not (tmp_path / "out" / "_staging" / "r").exists()
+
+
 def test_missing_input_gives_no_features(spark, tmp_path):
     config = RunConfig(str(tmp_path / "absent"), str(tmp_path / "out"), "r", persist=False)
     assert job.run(spark, config) == job.NO_FEATURES

@@ -3,24 +3,23 @@ from __future__ import annotations
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
+from conftest import made_reviews
 
 from reviewlab import scratch
 from reviewlab.contracts import REVIEWS, ContractError
 from reviewlab.scratch import fresh_path, shared_folder, stage
 from reviewlab.sources import manifest
 from reviewlab.sources.delimited import dataset_path, header_of, read_reviews, write_reviews
-from reviewlab.sources.tables import spread, table
 
 MANIFEST = manifest.MANIFEST_DDL
 
 
-def test_sample_file(spark, review_csv):
+def test_made_file(spark, review_csv):
     df = read_reviews(spark, str(review_csv))
     REVIEWS.check(df)
-    assert df.count() == 5
-    assert df.where("sentiment = 'positive'").count() == 3
-    assert not df.where(F.col("review") == '<p>Loud</p> and, frankly, "odd" !!!').isEmpty()
+    assert sorted(tuple(r) for r in df.collect()) == sorted(
+        tuple(r) for r in made_reviews(spark, 9).select("review", "sentiment").collect()
+    )
 
 
 def test_header_is_checked_unless_told_otherwise(spark, tmp_path):
@@ -30,7 +29,7 @@ def test_header_is_checked_unless_told_otherwise(spark, tmp_path):
     with pytest.raises(Exception, match="header does not conform"):
         read_reviews(spark, str(path)).collect()
     assert header_of(spark, str(path)).columns == ["txt", "lab"]
-    with pytest.raises(ContractError, match="missing required columns"):
+    with pytest.raises(ContractError, match="no column review, sentiment"):
         REVIEWS.check_columns(header_of(spark, str(path)))
 
 
@@ -58,19 +57,25 @@ def test_dataset_path():
     assert dataset_path("data/*.csv") == "data/*.csv"
 
 
-@pytest.mark.parametrize("whole_file_bytes", [0, 1 << 10, 64 << 20])
-def test_file_digests_whatever_the_size(spark, tmp_path, whole_file_bytes):
-    contents = {"small": b"hello world\n", "big": b"a" * (10 << 20)}
-    (tmp_path / "empty").write_bytes(b"")  # file sources pass over it
+def test_file_digests_whatever_the_size(spark, tmp_path):
+    contents = {"small": b"hello world\n", "big": b"a" * (10 << 20), "empty": b"", "a b%20c": b"x"}
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
-    rows = manifest.file_manifest(
-        spark, str(tmp_path), whole_file_bytes=whole_file_bytes
-    ).collect()
+    rows = manifest.file_manifest(spark, str(tmp_path)).collect()
     got = {r["path"].rsplit("/", 1)[-1]: (r["length"], r["digest"]) for r in rows}
     assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items()}
 
 
+def test_an_empty_file_is_valid_and_a_path_found_twice_is_not(spark, tmp_path):
+    (tmp_path / "empty").write_bytes(b"")
+    found = manifest.file_manifest(spark, str(tmp_path))
+    assert manifest.all_valid(found, found)
+    twice = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("b", 1, "z"), ("b", 1, "z")], MANIFEST)
+    expected = spark.createDataFrame([("a", 1, "x"), ("b", 1, "z"), ("b", 1, "z")], MANIFEST)
+    rows = manifest.verify(expected, twice).collect()
+    assert sorted((r["path"], r["status"]) for r in rows) == [("a", "mismatch"), ("b", "ok")]
+
+
 def test_status_of_expected_files(spark):
     expected = spark.createDataFrame(
         [("a", 1, "AA"), ("b", 1, "bb"), ("c", 1, "cc"), ("d", 1, None)], MANIFEST
@@ -107,17 +112,19 @@ def test_pending(spark):
 def test_load_is_idempotent_and_follows_changes(spark, tmp_path):
     source, target = tmp_path / "in", str(tmp_path / "table")
     source.mkdir()
+    seen = []
 
     def put(name, *reviews):
         lines = ["review,sentiment", *(f"{r},positive" for r in reviews)]
         (source / name).write_text("\n".join(lines) + "\n")
 
     def load(**options):
-        # The two readers name a local file differently: file:///x and file:/x.
-        path = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
-        rows = read_reviews(spark, str(source)).select("*", path.alias("path"))
+        def read(paths):
+            seen.append({p.rsplit("/", 1)[-1] for p in paths})
+            return read_reviews(spark, paths)
+
         offered = manifest.file_manifest(spark, str(source))
-        todo = manifest.load_pending(rows, offered, target, **options)
+        todo = manifest.load_pending(spark, read, offered, target, **options)
         current = manifest.current_rows(spark, target, offered)
         return todo.count(), sorted(r["review"] for r in current.collect())
 
@@ -129,6 +136,11 @@ def test_load_is_idempotent_and_follows_changes(spark, tmp_path):
     put("one.csv", "a", "changed")
     assert load() == (1, ["a", "c", "changed"])
     assert load(force=True) == (2, ["a", "c", "changed"])
+    assert seen == [{"one.csv"}, {"two.csv"}, {"one.csv"}, {"one.csv", "two.csv"}]
+    # A forced load leaves the rows of files that are gone.
+    (source / "two.csv").unlink()
+    assert load(force=True) == (1, ["a", "changed"])
+    assert spark.read.parquet(target).count() == 3
 
 
 def test_shared_folder_comes_from_the_session(spark):
@@ -155,16 +167,11 @@ def test_own_folder_on_a_local_master_only(spark, monkeypatch):
         shared_folder(OnCluster)
 
 
-def test_only_small_scans_are_spread(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    assert documents.rdd.getNumPartitions() < 4
-    assert spread(documents).rdd.getNumPartitions() == 4
-    wide = spark.range(0, 100, 1, 8)
-    assert spread(wide) is wide
-
-
-def test_spreading_is_bounded_however_many_cores(spark, monkeypatch):
-    monkeypatch.setattr("reviewlab.sources.tables.SMALL_SPLITS", 1)
-    two = spark.range(0, 100, 1, 2)
-    assert spread(two) is two
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 4
+def test_a_run_stages_in_its_own_folder_and_removes_it(spark, tmp_path):
+    folder = tmp_path / "out" / "_staging"
+    with pytest.raises(KeyError), scratch.staging(spark, str(folder)):
+        assert stage(spark.range(3), "x").count() == 3
+        assert list(folder.iterdir())
+        raise KeyError
+    assert not folder.exists()
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
