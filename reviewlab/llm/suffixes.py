@@ -11,8 +11,8 @@ anchor, so equal strings have their anchors at the same place.
 3. Contexts that are unlike all others of their gram, and one of each of the others, are
    cut out. The suffixes from the gram on are sorted: multikey quicksort to a shallow
    depth, blind tries for the groups that are still equal there. The longest common
-   prefixes with the sorted neighbours, and the bytes before the gram, tell how far two
-   contexts agree; where that is ``length`` or more, both are covered.
+   prefixes with the sorted neighbours, and the same for the bytes before the gram, tell
+   which strings of ``length`` have a twin; these cover both.
 4. The covered stretches of a document are merged and cut out of its text.
 
 Grams and contexts are counted before they are exchanged. A gram with very many
@@ -36,7 +36,9 @@ from reviewlab.scratch import stage
 
 LENGTH, GRAM = 200, 40
 # Depth beyond the gram to which suffixes are sorted by bytes; contexts of a block.
-SHALLOW, BLOCK = 16, 512
+SHALLOW, BLOCK = 16, 4096
+# Up to so many contexts are compared one by one.
+FEW = 5
 CHUNK = 1 << 23
 
 
@@ -171,35 +173,55 @@ def common_prefix(a: bytes, b: bytes) -> int:
     return lo
 
 
+def neighbours(strings: list[bytes], shallow: int) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each string in their order, and the common prefix of each with the next."""
+    order = deep_shallow(strings, shallow)
+    place = np.empty(len(order), int)
+    place[order] = np.arange(len(order))
+    common = [common_prefix(strings[a], strings[b]) for a, b in zip(order, order[1:], strict=False)]
+    return place, np.array(common, int)
+
+
 def agreements(rows: list[dict], length: int, gram: int) -> Iterator[tuple[int, int, int]]:
     """``context, before, after`` of the contexts of a gram that agree with another one:
-    how many bytes before and from the gram on are covered."""
+    how many bytes before and from the gram on are covered.
+
+    What follows the gram is sorted, and so is what stands before it, read backwards.
+    Strings with the same first ``n`` bytes are neighbours there; a string of
+    ``length`` that begins ``o`` bytes before the gram has a twin if some other context
+    is in the same class on both sides, with ``o`` bytes on one and the rest on the other.
+    """
+    before = [r["body"][: r["before"]][::-1] for r in rows]
     after = [r["body"][r["before"] :] for r in rows]
-    order = deep_shallow(after, gram + SHALLOW)
-    rows = [rows[i] for i in order]
-    after = [after[i] for i in order]
-    near = np.array([common_prefix(a, b) for a, b in zip(after, after[1:], strict=False)], int)
-    sizes = np.array([r["before"] for r in rows])
-    reach = -(-max(int(sizes.max()), 1) // 8) * 8
-    ahead = np.zeros((len(rows), reach), np.uint8)
-    for i, r in enumerate(rows):
-        ahead[i, : r["before"]] = np.frombuffer(r["body"][: r["before"]], np.uint8)[::-1]
-    ahead, line = ahead.view("<u8"), np.arange(len(rows))
-    for i, r in enumerate(rows):
-        if not r["lone"]:
-            continue  # it has a twin that agrees with all of it
-        prefix = np.concatenate(
-            (np.minimum.accumulate(near[:i][::-1])[::-1], [0], np.minimum.accumulate(near[i:]))
-        )
-        # Bytes that agree before the gram: whole words, then the first unlike word's low bytes.
-        word = (ahead != ahead[i]).argmax(axis=1)
-        unlike = ahead[line, word] ^ ahead[i, word]
-        low = np.log2(np.maximum(unlike & (~unlike + np.uint64(1)), np.uint64(1)).astype(float))
-        same = np.where(unlike > 0, word * 8 + (low.astype(int) >> 3), reach)
-        same = np.minimum(np.minimum(same, sizes), sizes[i])
-        good = (prefix >= gram) & (prefix + same >= length)
-        if good.any():
-            yield r["context"], int(same[good].max()), int(prefix[good].max())
+    lone = [i for i, r in enumerate(rows) if r["lone"]]
+    if len(rows) <= FEW:
+        for i in lone:
+            both = [(common_prefix(before[i], before[j]), common_prefix(after[i], after[j])) for j in range(len(rows)) if j != i]
+            good = [(b, a) for b, a in both if a >= gram and a + b >= length]
+            if good:
+                yield rows[i]["context"], max(b for b, _ in good), max(a for _, a in good)
+        return
+    reach = np.arange(length - gram + 1)[:, None]
+    same: np.ndarray | int = 0
+    for strings, deep, wanted in ((before, SHALLOW, reach), (after, gram + SHALLOW, length - reach)):
+        place, common = neighbours(strings, deep)
+        classes = np.zeros((len(reach), len(rows)), np.int64)
+        np.cumsum(common[None] < wanted, axis=1, out=classes[:, 1:])
+        long = np.array([len(x) for x in strings])[None] >= wanted
+        # A string that is too short is alone in its class.
+        own = np.where(long, classes[:, place], len(rows) + np.arange(len(rows))[None])
+        same = same * (2 * len(rows)) + own
+    flat = (same + reach * (2 * len(rows)) ** 2).ravel()
+    order = np.argsort(flat, kind="stable")
+    equal = flat[order[1:]] == flat[order[:-1]]
+    twin = np.zeros(len(flat), bool)
+    twin[order[1:][equal]] = True
+    twin[order[:-1][equal]] = True
+    twin = twin.reshape(same.shape)
+    for i in lone:
+        offsets = np.flatnonzero(twin[:, i])
+        if len(offsets):
+            yield rows[i]["context"], int(offsets[-1]), int(length - offsets[0])
 
 
 def _covered(blocks: DataFrame, length: int, gram: int) -> DataFrame:

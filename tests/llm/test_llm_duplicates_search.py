@@ -134,7 +134,7 @@ def repeating(rng):
     ]
 
 
-@pytest.mark.parametrize("block", [512, 5])
+@pytest.mark.parametrize("block", [512, 12])
 def test_bytes_removed_are_those_of_all_strings(spark, block, monkeypatch):
     monkeypatch.setattr(suffixes, "BLOCK", block)
     texts = repeating(random.Random(9))
