@@ -485,7 +485,8 @@ def train_eval_htf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = tokens_of(labelled_reviews(spark, sf_dir))
-    found = models.result_rows(spark, compare_feature_sets(tokens))
+    tasks = spark.sparkContext.defaultParallelism
+    found = models.result_rows(spark, compare_feature_sets(tokens, word2vec={"tasks": tasks}))
     return found.select("classifier_name", "feature_name", _plausible("accuracy"))
 
 
