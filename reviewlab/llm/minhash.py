@@ -255,7 +255,12 @@ def _between(mates: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
             F.struct("node", "root", "n", "u").alias("me"),
         )
     )
-    homes = stage(homes, "homes")
+    # The size comes first, so of two blocks the smaller one is the one that is moved.
+    sizes = homes.groupBy("block").agg(F.count("*").alias("size"))
+    homes = stage(
+        homes.join(sizes, "block").select("node", "me", F.struct("size", "block").alias("block")),
+        "homes",
+    )
     lying = placed.join(homes.select("node", "block"), "node").select("bucket", "block").distinct()
     pairs = (
         lying.alias("x")
