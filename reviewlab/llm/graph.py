@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reviewlab.scratch import stage
@@ -14,23 +14,34 @@ def components(links: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn until nothing changes. Each step replaces
     links by links to the smallest neighbour, so the number of links never grows, and
     smallest neighbours are combined before the shuffle, so a node with very many
-    links costs one row per task. Each round is a written table.
+    links costs one row per task. Each round is a written table; what tells whether it
+    changed is counted while it is written.
     """
-    links = stage(
+    links, seen = _round(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .where("a <> b")
-        .distinct(),
-        "links",
+        .distinct()
     )
-    seen = None
-    while (now := _fingerprint(links)) != seen:
+    while seen[0]:
+        links, now = _round(_small_star(_large_star(links)))
+        if now == seen:
+            break
         seen = now
-        links = stage(_small_star(_large_star(links)), "links")
+    links = links.distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
 
 
+def _round(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links written, and a fingerprint of them."""
+    seen = Observation()
+    prints = F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_003), F.lit(0))
+    watched = links.observe(seen, F.count(F.lit(1)).alias("n"), prints.alias("prints"))
+    stored = stage(watched, "links")
+    return stored, (seen.get["n"], seen.get["prints"])
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Join every larger neighbour of a node to the node's smallest neighbour."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -40,7 +51,6 @@ def _large_star(links: DataFrame) -> DataFrame:
         .join(least, "a")
         .select(F.col("b").alias("a"), F.col("m").alias("b"))
         .where("a <> b")
-        .distinct()
     )
 
 
@@ -48,8 +58,4 @@ def _small_star(links: DataFrame) -> DataFrame:
     """Join a node and its smaller neighbours to the smallest of them."""
     least = links.groupBy("a").agg(F.min("b").alias("m"))
     moved = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-
-
-def _fingerprint(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
+    return moved.unionByName(least.select("a", F.col("m").alias("b")))
