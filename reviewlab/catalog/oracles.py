@@ -265,6 +265,7 @@ def oracle_sql() -> dict[str, str]:
         select event, subject, value::double as value, 0::bigint as exit_code from (
           select 'rows' as event, '' as subject, n as value from counted
           union all select 'complete', '', n from counted
+          union all select 'malformed', '', 0
           union all select 'nulls', 'review', 0
           union all select 'nulls', 'sentiment', 0
           union all select 'other', 'sentiment', 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from reviewlab.config import under
 from reviewlab.contracts import REVIEW_SCHEMA
@@ -30,14 +30,18 @@ def read_reviews(
     multi_line: bool = False,
     enforce_schema: bool = False,
     mode: str = "PERMISSIVE",
+    malformed: str | None = None,
 ) -> DataFrame:
     """Scan with a fixed schema; no inference pass over the data.
 
     The header is compared with the schema unless ``enforce_schema`` is set, in
     which case names come from the schema whatever the file says. A file is split
     over many tasks unless ``multi_line`` is set; turn that on only for texts with
-    quoted newlines, and then keep each file to what one task can read.
+    quoted newlines, and then keep each file to what one task can read. ``malformed``
+    names a column that gets the text of records with too few or too many fields.
     """
+    if malformed:
+        schema = StructType([*schema.fields, StructField(malformed, StringType())])
     return spark.read.csv(
         path if isinstance(path, str) else list(path),
         schema=schema,
@@ -46,6 +50,7 @@ def read_reviews(
         multiLine=multi_line,
         enforceSchema=enforce_schema,
         mode=mode,
+        columnNameOfCorruptRecord=malformed,
     )
 
 

@@ -74,12 +74,13 @@ def test_wrong_header_and_wrong_label_break_the_contract(spark, tmp_path):
 def test_a_run_that_fails_leaves_its_counts_and_all_violations(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     lines = [f"text,{'positive' if i % 2 else f'label{i}'}" for i in range(60)]
+    lines[1] += ",more"
     (tmp_path / "raw" / "dataset.csv").write_text("\n".join(["review,sentiment", *lines]) + "\n")
     config = RunConfig(str(tmp_path / "raw"), str(tmp_path / "out"), "r", persist=True)
     assert job.run(spark, config) == job.BAD_INPUT
     rows = {(r["event"], r["subject"]): r["value"] for r in read_audit(spark, config.audit_path).collect()}
     assert rows["rows", ""] == 60 and rows["other", "sentiment"] == 30
-    assert rows["failed", str(job.BAD_INPUT)] == 1
+    assert rows["failed", str(job.BAD_INPUT)] == rows["malformed", ""] == 1
     assert spark.read.json(config.violations_path).count() == 30
     assert not (tmp_path / "out" / "_staging" / "r").exists()
 
