@@ -33,9 +33,9 @@ from reviewlab.llm.words import mix, span_hashes, texts
 
 BLANK = "▁"
 # Words remembered by a task; words of more signs are folded one by one.
-REMEMBERED, LONG = 500_000, 40
+REMEMBERED, LONG = 400_000, 40
 # Bytes of texts whose words are looked up together; words in a table of edges.
-TOGETHER, TABLE = 3_000_000, 4096
+TOGETHER, TABLE = 1_500_000, 4096
 LOOKUP_BITS = 18
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
