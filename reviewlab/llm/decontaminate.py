@@ -9,12 +9,13 @@ with all of an item's words.
    block can reach the threshold, no item can.
 2. The other passages are run through block-max WAND, which returns every item at or
    above the threshold.
-3. A hit counts if enough of both the question and the answer is found: shingles of
-   five words (an item of fewer words is one shingle).
+3. A hit counts if enough of the item is found: shingles of five words (an item of fewer
+   words is one shingle), those of both the question and the answer where items have an
+   answer, else those of the whole text.
 
-Items are given with a question and an answer, or as one text, whose last sentence is
-then the answer (its last third, if there is one sentence). Signs and case don't count.
-Null and empty texts and items match nothing; equal items are each reported.
+Of an item given as one text the last sentence is reported as the answer (its last third,
+if there is one sentence); no decision hangs on where it begins. Signs and case don't
+count. Null and empty texts and items match nothing; equal items are each reported.
 """
 
 from __future__ import annotations
@@ -72,6 +73,7 @@ class Index:
     sizes: list[int]
     questions: list[np.ndarray]
     answers: list[np.ndarray]
+    one_text: bool
 
     def passages(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (passage, term) of the words that are terms, in order."""
@@ -153,7 +155,12 @@ class Index:
                     float(np.isin(part[item], found).mean()) if len(part[item]) else 1.0
                     for part in (self.questions, self.answers)
                 ]
-                if min(shares) < overlap:
+                if self.one_text:
+                    both = np.concatenate((self.questions[item], self.answers[item]))
+                    enough = float(np.isin(both, found).mean())
+                else:
+                    enough = min(shares)
+                if enough < overlap:
                     continue
                 if item not in best or score > best[item]["score"]:
                     best[item] = {
@@ -166,8 +173,8 @@ class Index:
         return [best[i] for i in sorted(best)]
 
 
-def index_of(items: list[tuple[int, str, str]]) -> Index | None:
-    """An index of (id, question, answer); None without words."""
+def index_of(items: list[tuple[int, str, str]], *, one_text: bool = False) -> Index | None:
+    """An index of (id, question, answer), or of texts in two parts; None without words."""
     kept = [(i, _words(q), _words(a)) for i, q, a in items]
     kept = [(i, q, a) for i, q, a in kept if len(q) + len(a)]
     if not kept:
@@ -209,6 +216,7 @@ def index_of(items: list[tuple[int, str, str]]) -> Index | None:
         sizes=size.tolist(),
         questions=questions,
         answers=answers,
+        one_text=one_text,
     )
 
 
@@ -239,7 +247,7 @@ def hits(
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("id", "q"), F.lit(parts)) == part).collect()
         rows = sorted((r["id"] or 0, *(parts_of(r["q"]) if r["a"] is None else (r["q"], r["a"]))) for r in rows)
-        index = index_of(rows)
+        index = index_of(rows, one_text=answer is None)
         if index:
             columns.append(_matcher(items.sparkSession.sparkContext.broadcast(vars(index)), threshold, overlap)(text))
     none = F.array().cast(HIT)

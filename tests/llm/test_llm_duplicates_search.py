@@ -248,6 +248,25 @@ def test_passages_are_found_wherever_they_stand(spark):
     assert all(r.h == [] for r in none.collect())
 
 
+def test_items_of_one_text_are_found_with_their_end_changed(spark):
+    words = text_of(random.Random(5), 58).split()
+    short = " ".join(words) + ". Ñ."
+    twelve = " ".join(words[:40]) + ". " + " ".join(f"v{i}" for i in range(12))
+    items = spark.createDataFrame([(1, short), (2, twelve)], "item_id int, text string")
+    texts = [" ".join(words)]  # the last sentence is cut
+    for text in (short, twelve):
+        for k in range(1, 6):
+            changed = text.split()
+            changed[-k] = "other"
+            texts.append(" ".join(changed))
+    texts += [" ".join(words[:25]), text_of(random.Random(6), 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    hits = decontaminate.hits(F.col("text"), items)
+    found = {r.doc_id: {h.item for h in r.h} for r in docs.select("doc_id", hits.alias("h")).collect()}
+    assert all(1 in found[k] for k in range(6)) and all(2 in found[k] for k in range(6, 11))
+    assert found[11] == found[12] == set()
+
+
 def test_items_with_question_and_answer(spark):
     items = spark.createDataFrame([(1, "a b c d e f g", "h i j k l m")], "item_id int, q string, a string")
     docs = spark.createDataFrame([("x a b c d e f g h i j k l m",), ("a b c d e f g",)], "text string")
