@@ -15,7 +15,8 @@ With 5 rows and 40 bands a pair at 0.8 shares no bucket with a chance of 1e-7, a
 similar pairs with a smaller one.
 
 Nulls and texts without words: empty set, linked with nothing. A null id: linked with
-nothing, component null, kept. Rows of one id are judged by their own texts.
+nothing, component null, kept. Rows of one id are judged by their own texts: nodes are
+texts, not ids, and of several texts of a component under its smallest id one is kept.
 """
 
 from __future__ import annotations
@@ -100,7 +101,7 @@ def _named(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``node, shingles`` for documents ``id, text``."""
+    """``node, shingles`` for documents ``node, text``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,7 +113,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                 [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"]
             )
 
-    return docs.select("id", "text").mapInArrow(work, "node long, shingles array<long>")
+    return docs.select("node", "text").mapInArrow(work, "node long, shingles array<long>")
 
 
 def near_duplicates(
@@ -130,24 +131,28 @@ def near_duplicates(
     Documents are linked if ``100 * common shingles >= percent * all shingles``; the
     component is the smallest id that can be reached, and that document is kept.
     """
+    # A node is numbered, as ids can repeat; its document is the first of its text.
     signs = stage(signatures(docs, id, text, words, rows, bands), "signatures")
     named = signs.where("key is not null and id is not null")
     nodes = stage(
-        named.groupBy("key").agg(
-            F.min("id").alias("node"),
+        named.groupBy("key")
+        .agg(
+            F.min(F.struct("id", "h")).alias("doc"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
-        ),
+        )
+        .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     mates = _bucket_mates(nodes)
     source = _named(docs, id, text)
-    wanted = stage(mates.select(F.col("node").alias("id")).distinct(), "wanted")
+    wanted = stage(
+        nodes.join(mates.select("node").distinct(), "node", "left_semi").select("node", "doc.id", "doc.h"),
+        "wanted",
+    )
     sets = stage(
         shingle_sets(
-            source.join(wanted, "id", "left_semi")
-            .where("text is not null")
-            .dropDuplicates(["id", "h"]),
+            source.join(wanted, ["id", "h"]).where("text is not null").dropDuplicates(["id", "h"]),
             words,
         ),
         "shingles",
@@ -156,18 +161,17 @@ def near_duplicates(
     roots = components(stars)
     rest = stage(_between(mates, roots, sets, percent), "rest")
     roots = roots if rest.isEmpty() else stage(_joined(roots, rest), "roots")
-    places = nodes.join(roots, "node", "left").select(
-        "key", F.coalesce("root", "node").alias("component")
-    )
-    return (
-        signs.join(places, "key", "left")
-        .select(
-            F.col("id").alias(id),
-            "n_shingles",
-            F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
-            F.col("h").alias("text_hash"),
-        )
-        .withColumn("kept", F.coalesce(F.col(id) == F.col("component_id"), F.lit(True)))
+    linked = roots.join(nodes.select("node", "doc"), "node")
+    first = linked.groupBy("root").agg(F.min("doc").alias("first"))
+    linked = roots.join(first, "root").select("node", "first")
+    places = nodes.join(linked, "node", "left").select("key", F.coalesce("first", "doc").alias("first"))
+    own = (F.col("id") == F.col("first.id")) & (F.col("h") == F.col("first.h"))
+    return signs.join(places, "key", "left").select(
+        F.col("id").alias(id),
+        "n_shingles",
+        F.when(F.col("id").isNotNull(), F.coalesce("first.id", "id")).alias("component_id"),
+        F.col("h").alias("text_hash"),
+        (F.col("id").isNull() | F.col("first").isNull() | own).alias("kept"),
     )
 
 

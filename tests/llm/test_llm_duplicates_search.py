@@ -89,6 +89,24 @@ def test_rows_without_an_id_equal_rows_and_no_rows(spark):
     assert minhash.near_duplicates(docs.where("false")).count() == 0
 
 
+def test_two_texts_under_one_id_are_judged_apart(spark):
+    rng = random.Random(4)
+    a, b, c = (text_of(rng, 60) for _ in range(3))
+    rows = [(5, a), (5, b), (3, a + " more"), (8, c), (8, c + " more"), (9, b.upper()), (2, "one"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = minhash.near_duplicates(docs).select("doc_id", "component_id", F.col("text_hash"), "kept")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).distinct()
+    got = {(r.doc_id, r.text): (r.component_id, r.kept) for r in found.join(hashed, ["doc_id", "text_hash"]).collect()}
+    assert sorted(got.pop((8, t))[1] for t in (c, c + " more")) == [False, True]
+    assert got == {
+        (5, a): (3, False), (5, b): (5, True), (3, a + " more"): (3, True), (9, b.upper()): (5, False),
+        (2, "one"): (2, True), (2, None): (2, True),
+    }
+    kept = {(r.doc_id, r.text) for r in minhash.deduplicated(docs).collect()}
+    assert {(i, t) for i, t in kept if i != 8} == {(5, b), (3, a + " more"), (2, "one"), (2, None)}
+    assert len(kept) == 5
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     links = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 140)] + [(5, 5), (7, 6)]
     found = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
