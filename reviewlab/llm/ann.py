@@ -1,15 +1,16 @@
 """Approximate nearest neighbours by inner product: robust-pruned graphs over shards.
 
 Equal vectors are one node (with their smallest ids), so very common vectors neither
-crowd a graph nor a task. Nodes are dealt into shards by hash; each shard's graph is
-built in one task: greedy searches propose neighbours, and relaxed distance pruning
+crowd a graph nor a task. Nodes are dealt into shards by length, one power of two to a
+shard, so that a few long vectors don't make all others alike, and then by hash; each
+shard's graph is built in one task: greedy searches propose neighbours, and relaxed distance pruning
 keeps those that no closer neighbour stands in for, so edges point in all directions.
 Queries come in blocks; each block is searched in each shard with a beam, and the
 nearest of all shards are kept.
 
 Every vector gets one more component so that all have the same length; then the nearest
 by distance are those of largest inner product. Scores are computed again on the given
-vectors in double precision.
+vectors in double precision; one beyond its range is infinite, and ties with its like.
 
 Vectors that are null, zero, or hold a null or non-finite component take no part, nor do
 rows without an id; vectors of different sizes are not compared. Rows of one id and
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlab.scratch import stage
@@ -29,6 +30,8 @@ DEGREE, BEAM, ALPHA = 32, 96, 1.2
 SHARD_ROWS, QUERY_ROWS = 8192, 1024
 # Candidates expanded at once, nodes a search starts from, most insertions at once.
 WIDE, ENTRIES, BATCH = 4, 16, 512
+# Lists pruned at once.
+LISTS = 128
 
 
 def beam_search(
@@ -39,7 +42,7 @@ def beam_search(
     seen = np.zeros((n, len(vectors)), bool)
     seen[:, entries] = True
     node = np.full((n, beam), -1)
-    value = np.full((n, beam), -np.inf, np.float32)
+    value = np.full((n, beam), -np.inf)
     done = np.zeros((n, beam), bool)
     start = entries[:beam]
     node[:, : len(start)], value[:, : len(start)] = start, queries @ vectors[start].T
@@ -53,7 +56,7 @@ def beam_search(
             break
         rows = active[:, None]
         done[rows, picks] |= usable
-        near = []
+        near, product = [], []
         for w in range(picks.shape[1]):
             found = graph[np.where(usable[:, w], node[active, picks[:, w]], 0)].copy()
             found[~usable[:, w]] = -1
@@ -61,8 +64,8 @@ def beam_search(
             at, col = np.nonzero(found >= 0)
             seen[active[at], found[at, col]] = True
             near.append(found)
-        near = np.concatenate(near, axis=1)
-        product = np.einsum("ard,ad->ar", vectors[near], queries[active], optimize=True)
+            product.append(np.einsum("ard,ad->ar", vectors[found], queries[active], optimize=True))
+        near, product = np.concatenate(near, axis=1), np.concatenate(product, axis=1)
         product[near < 0] = -np.inf
         nodes = np.concatenate((node[active], near), axis=1)
         values = np.concatenate((value[active], product), axis=1)
@@ -80,9 +83,22 @@ def beam_search(
 def robust_prune(centre: np.ndarray, near: np.ndarray, vectors: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     """Per row the neighbours kept of ``near`` (-1: none): the closest one, then the closest
     of those that are not ``alpha`` times closer to a kept one than to the centre."""
+    parts = [
+        _pruned(centre[lo : lo + LISTS], near[lo : lo + LISTS], vectors, degree, alpha)
+        for lo in range(0, len(centre), LISTS)
+    ]
+    return np.concatenate(parts)
+
+
+def _apart(body: np.ndarray, from_: np.ndarray) -> np.ndarray:
+    """Squared distances, from differences: those of close vectors keep their digits."""
+    gap = body - from_[:, None]
+    return np.einsum("bcd,bcd->bc", gap, gap)
+
+
+def _pruned(centre: np.ndarray, near: np.ndarray, vectors: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     body = vectors[near]
-    size = float((vectors[0] ** 2).sum())
-    apart = 2 * size - 2 * np.einsum("bcd,bd->bc", body, vectors[centre], optimize=True)
+    apart = _apart(body, vectors[centre])
     apart[(near < 0) | (near == centre[:, None])] = np.inf
     kept = np.full((len(centre), degree), -1, np.int32)
     rows = np.arange(len(centre))
@@ -92,7 +108,7 @@ def robust_prune(centre: np.ndarray, near: np.ndarray, vectors: np.ndarray, degr
         if not usable.any():
             break
         kept[:, r] = np.where(usable, near[rows, pick], -1)
-        between = 2 * size - 2 * np.einsum("bcd,bd->bc", body, body[rows, pick], optimize=True)
+        between = _apart(body, body[rows, pick])
         apart[(alpha**2 * between <= apart) & usable[:, None]] = np.inf
         apart[rows, pick] = np.inf
     return kept
@@ -143,11 +159,24 @@ def _add_reverse(new: np.ndarray, graph: np.ndarray, vectors: np.ndarray, degree
 
 def one_length(vectors: np.ndarray) -> np.ndarray:
     """The vectors with one more component that makes all of them equally long."""
-    vectors = vectors.astype(np.float64)
+    vectors = vectors / np.abs(vectors).max()  # squares of the largest components overflow
     square = (vectors**2).sum(axis=1)
-    most = max(float(square.max()), 1e-300)
+    most = float(square.max())
     last = np.sqrt(np.maximum(most - square, 0))
-    return (np.concatenate((vectors, last[:, None]), axis=1) / np.sqrt(most)).astype(np.float32)
+    return np.concatenate((vectors, last[:, None]), axis=1) / np.sqrt(most)
+
+
+def scaled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows with components below 1, and the powers of two they were divided by."""
+    power = np.frexp(np.abs(vectors).max(axis=1))[1]
+    return np.ldexp(vectors, -power[:, None]), power
+
+
+def octave(vector: str) -> Column:
+    """The power of two below the length of a vector, which itself may be out of range."""
+    most = F.array_max(F.transform(vector, F.abs))
+    square = F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x / most) * (x / most))
+    return F.floor(F.log2(most) + F.log2(square) / 2).cast("long")
 
 
 def usable(rows: DataFrame, id: str, vector: str) -> DataFrame:
@@ -177,10 +206,11 @@ def nearest(
         # Of equal vectors a query wants k at most besides its own.
         .where(F.col("place") <= k + 1)
         .groupBy("v", "size")
-        .agg(F.array_sort(F.collect_list("id")).alias("ids")),
+        .agg(F.array_sort(F.collect_list("id")).alias("ids"))
+        .withColumn("octave", octave("v")),
         "vectors",
     )
-    shards = max(1, -(-nodes.count() // shard_rows))
+    shards = nodes.groupBy("size", "octave").agg(F.ceil(F.count("*") / shard_rows).alias("shards"))
     asked = usable(queries, id, vector)
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
 
@@ -192,7 +222,7 @@ def nearest(
         return pa.table(
             {
                 "size": pa.array([size], pa.int32()),
-                "shard": pa.array([table.column("shard")[0].as_py()], pa.int32()),
+                "shard": pa.array([table.column("shard")[0].as_py()], pa.int64()),
                 "ids": pa.array([table.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64()))),
                 "vectors": [v.tobytes()],
                 "graph": [graph.tobytes()],
@@ -201,12 +231,13 @@ def nearest(
         )
 
     graphs = stage(
-        nodes.withColumn("first", F.col("ids")[0])
-        .withColumn("shard", F.pmod(F.xxhash64("first"), F.lit(shards)).cast("int"))
+        nodes.join(F.broadcast(shards), ["size", "octave"])
+        .withColumn("first", F.col("ids")[0])
+        .withColumn("shard", F.col("octave") * (1 << 40) + F.pmod(F.xxhash64("first"), "shards"))
         .groupBy("size", "shard")
         .applyInArrow(
             make_graph,
-            "size int, shard int, ids array<array<bigint>>, vectors binary, graph binary, entries binary",
+            "size int, shard long, ids array<array<bigint>>, vectors binary, graph binary, entries binary",
         ),
         "graphs",
     )
@@ -237,13 +268,15 @@ def nearest(
         q = np.frombuffer(row["wanted"]).reshape(-1, d)
         asked = np.frombuffer(row["asked"], np.int64)
         graph = np.frombuffer(row["graph"], np.int32).reshape(len(v), -1)
-        length = np.sqrt((q**2).sum(axis=1, keepdims=True))
-        level = np.concatenate((q / length, np.zeros((len(q), 1))), axis=1).astype(np.float32)
+        (v1, v_power), (q1, q_power) = scaled(v), scaled(q)
+        length = np.sqrt((q1**2).sum(axis=1, keepdims=True))
+        level = np.concatenate((q1 / length, np.zeros((len(q), 1))), axis=1)
         found, _ = beam_search(level, one_length(v), graph, np.frombuffer(row["entries"], np.int64), max(beam, k + 1))
         out: tuple[list, list, list] = ([], [], [])
         for i in range(len(q)):
             near = found[i][found[i] >= 0]
-            scores = v[near] @ q[i]
+            with np.errstate(over="ignore"):
+                scores = np.ldexp(v1[near] @ q1[i], v_power[near] + q_power[i])
             hits = [
                 (-s, x) for s, node in zip(scores.tolist(), near, strict=True) for x in row["ids"][node] if x != asked[i]
             ]

@@ -318,6 +318,39 @@ def test_nearest_of_a_graph_is_nearly_that_of_all_rows(spark):
     assert hits / (20 * len(want)) >= 0.95
 
 
+@pytest.mark.parametrize("largest", [1e3, 1e200])
+def test_nearest_where_lengths_span_many_powers_of_ten(spark, largest):
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(2000, 16))
+    lengths = 10 ** rng.uniform(-3, 3, (2000, 1))
+    lengths[:3] = 1e3
+    # All but three long vectors lie in the other half, so that short ones are wanted as well.
+    points[:, 0] = -np.abs(points[:, 0])
+    points[3::10, 0] *= -1
+    lengths[3:] = np.where(points[3:, :1] > 0, lengths[3:] / 1e3, lengths[3:])
+    points *= lengths * (largest / 1e3)
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    asked = [(i, (p / np.abs(p).max()).tolist()) for i, p in enumerate(points) if i % 20 == 0]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    queries = spark.createDataFrame(asked, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, queries).collect():
+        got.setdefault(r.query_id, set()).add(r.id)
+    hits = 0
+    for i, q in asked:
+        order = [j for j in np.argsort(-(points @ np.array(q)), kind="stable") if j != i]
+        hits += len(got[i] & set(order[:20]))
+    assert hits / (20 * len(asked)) >= 0.95
+
+
+def test_graphs_reach_short_vectors_beside_a_long_one():
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(1500, 16))
+    points[0] *= 1e4
+    graph, _ = ann.build(ann.one_length(points))
+    assert (graph >= 0).sum(axis=1).mean() > 4
+
+
 def test_equal_vectors_ties_and_vectors_that_take_no_part(spark):
     rows = [(i, [1.0, 0.0]) for i in range(50)] + [(i, [float(i), 1.0]) for i in range(60, 66)]
     rows += [(100, None), (120, [0.0, 0.0]), (140, [None, 1.0]), (160, [float("nan"), 1.0]), (180, [float("inf"), 1.0])]
