@@ -10,7 +10,6 @@ import math
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,7 +107,7 @@ def _roundtrip(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFr
     tokens = tokens_of(reviews, **options)
     counted = hashed_counts(tokens)
     rows = training_rows(counted.table)
-    fitted = LogisticRegression(maxIter=10).fit(rows.select("label", "features"))
+    fitted = models.LogisticRegressionAlone(maxIter=10).fit(rows.select("label", "features"))
     live = PipelineModel([*counted.stages, fitted])
     stored = PipelineModel.load(
         sinks.write_model(live, sinks.model_name("LogisticRegression", counted.name), config)
@@ -337,6 +336,11 @@ def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.where(F.col("tf_idf") != 0).withColumn("tf_idf", F.round("tf_idf", PLACES))
 
 
+def _in_parallel(spark: SparkSession) -> dict:
+    """Word vectors are learned by as many tasks as the cluster runs at once."""
+    return {"tasks": spark.sparkContext.defaultParallelism}
+
+
 def w2v_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.vocabulary(_content_words(spark, sf_dir))
 
@@ -347,7 +351,7 @@ def w2v_doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     Vectors are compared along one direction: one number per word and document.
     """
     words = stage(_content_words(spark, sf_dir), "words")
-    model = features.fit_word2vec(words.select("filtered"))
+    model = features.fit_word2vec(words.select("filtered"), **_in_parallel(spark))
     direction = F.array(*[F.lit(math.cos(i)) for i in range(features.VECTOR_SIZE)])
 
     def along(vector: str) -> Column:
@@ -384,7 +388,7 @@ def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three tables in one shape: the same columns, rows and dimensions."""
-    built = feature_sets(tokens_of(labelled_reviews(spark, sf_dir)))
+    built = feature_sets(tokens_of(labelled_reviews(spark, sf_dir)), word2vec=_in_parallel(spark))
     shaped = [
         one.table.select(F.lit(name).alias("feature_set"), *COMMON) for name, one in built.items()
     ]
@@ -400,7 +404,8 @@ def feature_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 def featurize_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and non-zero cells per feature set; scaled word vectors are dense, so no cell count."""
     parts = []
-    for name, one in feature_sets(tokens_of(labelled_reviews(spark, sf_dir))).items():
+    tokens = tokens_of(labelled_reviews(spark, sf_dir))
+    for name, one in feature_sets(tokens, word2vec=_in_parallel(spark)).items():
         dense = name == sinks.WORD_VECTORS
         cells = F.lit(None).cast("bigint") if dense else F.sum(vectors.nonzeros("features"))
         parts.append(
@@ -443,7 +448,7 @@ def lr_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The intercept as dimension -1, then one coefficient per bucket: each a finite number."""
     _, rows = _hashed_reviews(spark, sf_dir)
     train, _ = models.split_by_key(rows, "review_id")
-    model = LogisticRegression().fit(train)
+    model = models.LogisticRegressionAlone().fit(train)
     values = [(-1, model.intercept), *enumerate(model.coefficients.toArray().tolist())]
     fitted = spark.createDataFrame(values, "dim bigint, value double")
     return fitted.select("dim", (~F.isnan("value") & (F.abs("value") < float("inf"))).alias("is_finite"))
@@ -464,7 +469,7 @@ def lr_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every labelled review scored by a model of its training side."""
     _, rows = _hashed_reviews(spark, sf_dir)
     train, _ = models.split_by_key(rows, "review_id")
-    scored = LogisticRegression(maxIter=10).fit(train).transform(rows)
+    scored = models.LogisticRegressionAlone(maxIter=10).fit(train).transform(rows)
     return scored.select("review_id", "label", F.col("prediction").isin(0.0, 1.0).alias("is_class"))
 
 
@@ -485,8 +490,8 @@ def train_eval_htf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = tokens_of(labelled_reviews(spark, sf_dir))
-    tasks = spark.sparkContext.defaultParallelism
-    found = models.result_rows(spark, compare_feature_sets(tokens, word2vec={"tasks": tasks}))
+    results = compare_feature_sets(tokens, word2vec=_in_parallel(spark))
+    found = models.result_rows(spark, results)
     return found.select("classifier_name", "feature_name", _plausible("accuracy"))
 
 

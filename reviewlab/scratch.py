@@ -52,8 +52,12 @@ def staging(spark: SparkSession, folder: str) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(OWN, before) if before else spark.conf.unset(OWN)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(spark, folder)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -65,4 +69,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.staged_at = path
+    return stored
+
+
+def discard(*staged: DataFrame) -> None:
+    """Remove tables that ``stage`` returned, once no table still to be computed reads them."""
+    for df in staged:
+        _remove(df.sparkSession, df.staged_at)
