@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from reviewlab.scratch import stage
+from reviewlab.scratch import discard, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,16 +14,20 @@ def components(links: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn until nothing changes. Each step replaces
     links by links to the smallest neighbour, so the number of links never grows, and
     smallest neighbours are combined before the shuffle, so a node with very many
-    links costs one row per task. Each round is a written table; what tells whether it
-    changed is counted while it is written.
+    links costs one row per task. Each round is a written table, which takes the place of
+    the one before; what tells whether it changed is counted from it.
     """
-    links, seen = _round(
+    links = stage(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .where("a <> b")
-        .distinct()
+        .distinct(),
+        "links",
     )
-    while seen[0]:
-        links, now = _round(_small_star(_large_star(links)))
+    seen = _print(links)
+    while seen["n"]:
+        before, links = links, stage(_small_star(_large_star(links)), "links")
+        discard(before)
+        now = _print(links)
         if now == seen:
             break
         seen = now
@@ -33,13 +37,12 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _round(links: DataFrame) -> tuple[DataFrame, tuple]:
-    """The links written, and a fingerprint of them."""
-    seen = Observation()
-    prints = F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_003), F.lit(0))
-    watched = links.observe(seen, F.count(F.lit(1)).alias("n"), prints.alias("prints"))
-    stored = stage(watched, "links")
-    return stored, (seen.get["n"], seen.get["prints"])
+def _print(links: DataFrame) -> Row:
+    """A number of rows and a sum that change when the links do."""
+    return links.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_003), F.lit(0)).alias("prints"),
+    ).first()
 
 
 def _large_star(links: DataFrame) -> DataFrame:
