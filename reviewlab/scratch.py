@@ -10,7 +10,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
 
@@ -78,3 +78,18 @@ def discard(*staged: DataFrame) -> None:
     """Remove tables that ``stage`` returned, once no table still to be computed reads them."""
     for df in staged:
         _remove(df.sparkSession, df.staged_at)
+
+
+@contextmanager
+def temporaries() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``stage`` whose tables go at the end of the block, also on failure."""
+    made: list[DataFrame] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        made.append(stage(df, name))
+        return made[-1]
+
+    try:
+        yield keep
+    finally:
+        discard(*made)
