@@ -31,10 +31,13 @@ from pyspark.sql import functions as F
 
 from reviewlab.llm.graph import components
 from reviewlab.llm.words import mix, normal_form, shingle_hashes, texts, word_hashes
-from reviewlab.scratch import stage
+from reviewlab.scratch import stage, temporaries
 
 ROWS, BANDS = 5, 40
 BLOCK = 256
+# Bits of the table that says which texts are wanted: 4 MB, whatever the input.
+WANTED_BITS = 1 << 25
+PART = 8 * 4096
 
 
 def donor_order(bins: int) -> np.ndarray:
@@ -131,40 +134,8 @@ def near_duplicates(
     Documents are linked if ``100 * common shingles >= percent * all shingles``; the
     component is the smallest id that can be reached, and that document is kept.
     """
-    # A node is numbered, as ids can repeat; its document is the first of its text.
     signs = stage(signatures(docs, id, text, words, rows, bands), "signatures")
-    named = signs.where("key is not null and id is not null")
-    nodes = stage(
-        named.groupBy("key")
-        .agg(
-            F.min(F.struct("id", "h")).alias("doc"),
-            F.first("n_shingles").alias("n"),
-            F.first("bands").alias("bands"),
-        )
-        .withColumn("node", F.monotonically_increasing_id()),
-        "nodes",
-    )
-    mates = _bucket_mates(nodes)
-    source = _named(docs, id, text)
-    wanted = stage(
-        nodes.join(mates.select("node").distinct(), "node", "left_semi").select("node", "doc.id", "doc.h"),
-        "wanted",
-    )
-    sets = stage(
-        shingle_sets(
-            source.join(wanted, ["id", "h"]).where("text is not null").dropDuplicates(["id", "h"]),
-            words,
-        ),
-        "shingles",
-    )
-    stars = stage(confirmed(_stars(mates), sets, percent), "stars")
-    roots = components(stars)
-    rest = stage(_between(mates, roots, sets, percent), "rest")
-    roots = roots if rest.isEmpty() else stage(_joined(roots, rest), "roots")
-    linked = roots.join(nodes.select("node", "doc"), "node")
-    first = linked.groupBy("root").agg(F.min("doc").alias("first"))
-    linked = roots.join(first, "root").select("node", "first")
-    places = nodes.join(linked, "node", "left").select("key", F.coalesce("first", "doc").alias("first"))
+    places = _places(signs, _named(docs, id, text), words, percent)
     own = (F.col("id") == F.col("first.id")) & (F.col("h") == F.col("first.h"))
     return signs.join(places, "key", "left").select(
         F.col("id").alias(id),
@@ -175,6 +146,60 @@ def near_duplicates(
     )
 
 
+def _places(signs: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+    """``key, first``: the first document of the component of each text."""
+    with temporaries() as passing:
+        # A node is numbered, as ids can repeat; its document is the first of its text.
+        nodes = passing(
+            signs.where("key is not null and id is not null")
+            .groupBy("key")
+            .agg(
+                F.min(F.struct("id", "h")).alias("doc"),
+                F.first("n_shingles").alias("n"),
+                F.first("bands").alias("bands"),
+            )
+            .withColumn("node", F.monotonically_increasing_id()),
+            "nodes",
+        )
+        mates = passing(_bucket_mates(nodes), "buckets")
+        wanted = passing(
+            nodes.join(mates.select("node").distinct(), "node", "left_semi").select("node", "doc.id", "doc.h"),
+            "wanted",
+        )
+        likely = _likely(source.where("text is not null"), wanted)
+        sets = passing(
+            shingle_sets(likely.join(wanted, ["id", "h"]).dropDuplicates(["id", "h"]), words), "shingles"
+        )
+        stars = _stars(mates, sets, percent)
+        roots = components(stars)
+        rest = _between(mates, roots, sets, percent)
+        roots = roots if rest.isEmpty() else passing(_joined(roots, rest), "roots")
+        linked = roots.join(nodes.select("node", "doc"), "node")
+        first = linked.groupBy("root").agg(F.min("doc").alias("first"))
+        linked = roots.join(first, "root").select("node", "first")
+        found = nodes.join(linked, "node", "left").select("key", F.coalesce("first", "doc").alias("first"))
+        return stage(found, "places")
+
+
+def _likely(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``source`` that can be among ``wanted``, found where they lie.
+
+    A bit table of fixed size, one bit per hashed id and text, goes to every task, so
+    the texts that nobody needs are not exchanged. Where bits are shared, more rows
+    than needed stay; the exact join comes after.
+    """
+    place = F.pmod(F.xxhash64("id", "h"), F.lit(WANTED_BITS))
+    part, bit = F.floor(place / PART), place % PART
+    bits = (
+        wanted.select(part.alias("part"), bit.alias("bit"))
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = source.withColumn("part", part).join(F.broadcast(bits), "part")
+    return found.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(source.columns)
+
+
 def deduplicated(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are kept; of equal rows, and of equal texts without an id, one."""
     judged = near_duplicates(docs, id=id, text=text, **options)
@@ -188,34 +213,36 @@ def deduplicated(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **o
 
 
 def _bucket_mates(nodes: DataFrame) -> DataFrame:
-    """``bucket, node, n, mates``: the documents of buckets of two or more."""
+    """``bucket, node, n, size``: the documents of buckets of two or more."""
     placed = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    return stage(placed.join(shared, "bucket"), "buckets")
-
-
-def _stars(mates: DataFrame) -> DataFrame:
-    """``a, b, na, nb``: each document and the best centre among its buckets."""
-    rank = mates.groupBy("node").agg(F.sum("size").alias("rank"))
-    ranked = stage(
-        mates.join(rank, "node").select(
-            "bucket", F.struct("rank", F.negative("node").alias("order"), "node", "n").alias("me")
-        ),
-        "ranked",
-    )
-    centres = ranked.groupBy("bucket").agg(F.max("me").alias("centre"))
-    return (
-        ranked.join(centres, "bucket")
-        .where("centre > me")
-        .groupBy("me.node", "me.n")
-        .agg(F.max("centre").alias("c"))
-        .select(
-            F.col("c.node").alias("a"),
-            F.col("node").alias("b"),
-            F.col("c.n").alias("na"),
-            F.col("n").alias("nb"),
+    return placed.join(shared, "bucket")
+
+
+def _stars(mates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Each document and the best centre among its buckets, confirmed."""
+    with temporaries() as passing:
+        rank = mates.groupBy("node").agg(F.sum("size").alias("rank"))
+        ranked = passing(
+            mates.join(rank, "node").select(
+                "bucket", F.struct("rank", F.negative("node").alias("order"), "node", "n").alias("me")
+            ),
+            "ranked",
         )
-    )
+        centres = ranked.groupBy("bucket").agg(F.max("me").alias("centre"))
+        pairs = (
+            ranked.join(centres, "bucket")
+            .where("centre > me")
+            .groupBy("me.node", "me.n")
+            .agg(F.max("centre").alias("c"))
+            .select(
+                F.col("c.node").alias("a"),
+                F.col("node").alias("b"),
+                F.col("c.n").alias("na"),
+                F.col("n").alias("nb"),
+            )
+        )
+        return stage(confirmed(pairs, sets, percent), "stars")
 
 
 def _between(mates: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,87 +254,89 @@ def _between(mates: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
     blocks of about BLOCK documents by the largest bucket they lie in, and blocks that
     share a bucket are compared, so a large bucket makes few rows and no large task.
     """
-    placed = mates.join(roots, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("root", "node").alias("root")
-    )
-    placed = _mixed(placed)
-    inner = sets.join(placed.select("node", "root").distinct(), "node").select(
-        # 32 bits do: two shingles taken for one only raise the bound.
-        "node", "root", F.explode(F.transform("shingles", lambda s: (s % (1 << 31)).cast("int"))).alias("s")
-    )
-    own = (
-        inner.groupBy("s")
-        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        .where("lo = hi")
-        .select("s")
-    )
-    alone = inner.join(own, "s").groupBy("node").agg(F.count("*").alias("alone"))
-    placed = placed.join(stage(alone, "alone"), "node", "left").select(
-        "bucket", "root", "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("u")
-    )
-    placed = _mixed(placed.where(F.col("u") * 100 >= F.col("n") * percent))
-
-    homes = (
-        placed.join(placed.groupBy("bucket").agg(F.count("*").alias("size")), "bucket")
-        .groupBy("node")
-        .agg(F.max(F.struct("size", "bucket")).alias("home"), *[F.first(c).alias(c) for c in ("root", "n", "u")])
-        .select(
-            "node",
-            F.struct(
-                "home.bucket", F.pmod(F.xxhash64("node"), F.ceil(F.col("home.size") / BLOCK)).alias("part")
-            ).alias("block"),
-            F.struct("node", "root", "n", "u").alias("me"),
+    with temporaries() as passing:
+        placed = mates.join(roots, "node", "left").select(
+            "bucket", "node", "n", F.coalesce("root", "node").alias("root")
         )
-    )
-    # The size comes first, so of two blocks the smaller one is the one that is moved.
-    sizes = homes.groupBy("block").agg(F.count("*").alias("size"))
-    homes = stage(
-        homes.join(sizes, "block").select("node", "me", F.struct("size", "block").alias("block")),
-        "homes",
-    )
-    lying = placed.join(homes.select("node", "block"), "node").select("bucket", "block").distinct()
-    pairs = (
-        lying.alias("x")
-        .join(lying.alias("y"), "bucket")
-        .where("x.block <= y.block")
-        .select(F.col("x.block").alias("xb"), F.col("y.block").alias("yb"))
-        .distinct()
-    )
-    blocks = homes.join(sets, "node").groupBy("block").agg(
-        F.collect_list(F.struct("me.*", "shingles")).alias("docs")
-    )
-    blocks = stage(blocks, "blocks")
-
-    def linked(p: Column, q: Column) -> Column:
-        sizes = p["n"] + q["n"]
-        common = F.size(F.array_intersect(p["shingles"], q["shingles"]))
-        return (
-            (p["root"] != q["root"])
-            & (F.least(p["n"], q["n"]) * 100 >= F.greatest(p["n"], q["n"]) * percent)
-            & (F.least(p["u"], q["u"]) * (100 + percent) >= sizes * percent)
-            & F.when(p["root"] != q["root"], common * (100 + percent) >= sizes * percent)
+        placed = passing(_mixed(placed), "mixed")
+        inner = sets.join(placed.select("node", "root").distinct(), "node").select(
+            # 32 bits do: two shingles taken for one only raise the bound.
+            "node", "root", F.explode(F.transform("shingles", lambda s: (s % (1 << 31)).cast("int"))).alias("s")
+        )
+        own = (
+            inner.groupBy("s")
+            .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+            .where("lo = hi")
+            .select("s")
+        )
+        alone = inner.join(own, "s").groupBy("node").agg(F.count("*").alias("alone"))
+        placed = placed.join(passing(alone, "alone"), "node", "left").select(
+            "bucket", "root", "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("u")
+        )
+        placed = passing(_mixed(placed.where(F.col("u") * 100 >= F.col("n") * percent)), "mixed")
+
+        homes = (
+            placed.join(placed.groupBy("bucket").agg(F.count("*").alias("size")), "bucket")
+            .groupBy("node")
+            .agg(F.max(F.struct("size", "bucket")).alias("home"), *[F.first(c).alias(c) for c in ("root", "n", "u")])
+            .select(
+                "node",
+                F.struct(
+                    "home.bucket", F.pmod(F.xxhash64("node"), F.ceil(F.col("home.size") / BLOCK)).alias("part")
+                ).alias("block"),
+                F.struct("node", "root", "n", "u").alias("me"),
+            )
+        )
+        # The size comes first, so of two blocks the smaller one is the one that is moved.
+        sizes = homes.groupBy("block").agg(F.count("*").alias("size"))
+        homes = passing(
+            homes.join(sizes, "block").select("node", "me", F.struct("size", "block").alias("block")),
+            "homes",
+        )
+        lying = placed.join(homes.select("node", "block"), "node").select("bucket", "block").distinct()
+        pairs = (
+            lying.alias("x")
+            .join(lying.alias("y"), "bucket")
+            .where("x.block <= y.block")
+            .select(F.col("x.block").alias("xb"), F.col("y.block").alias("yb"))
+            .distinct()
         )
+        blocks = homes.join(sets, "node").groupBy("block").agg(
+            F.collect_list(F.struct("me.*", "shingles")).alias("docs")
+        )
+        blocks = passing(blocks, "blocks")
+
+        def linked(p: Column, q: Column) -> Column:
+            sizes = p["n"] + q["n"]
+            common = F.size(F.array_intersect(p["shingles"], q["shingles"]))
+            return (
+                (p["root"] != q["root"])
+                & (F.least(p["n"], q["n"]) * 100 >= F.greatest(p["n"], q["n"]) * percent)
+                & (F.least(p["u"], q["u"]) * (100 + percent) >= sizes * percent)
+                & F.when(p["root"] != q["root"], common * (100 + percent) >= sizes * percent)
+            )
 
-    links = F.transform(
-        "xs",
-        lambda p: F.transform(
-            F.filter("ys", lambda q: linked(p, q)),
-            lambda q: F.struct(p["node"].alias("a"), q["node"].alias("b")),
-        ),
-    )
-    return (
-        pairs.join(blocks.select(F.col("block").alias("xb"), F.col("docs").alias("xs")), "xb")
-        .join(blocks.select(F.col("block").alias("yb"), F.col("docs").alias("ys")), "yb")
-        .select(F.explode(F.flatten(links)).alias("link"))
-        .select("link.a", "link.b")
-        .distinct()
-    )
+        links = F.transform(
+            "xs",
+            lambda p: F.transform(
+                F.filter("ys", lambda q: linked(p, q)),
+                lambda q: F.struct(p["node"].alias("a"), q["node"].alias("b")),
+            ),
+        )
+        found = (
+            pairs.join(blocks.select(F.col("block").alias("xb"), F.col("docs").alias("xs")), "xb")
+            .join(blocks.select(F.col("block").alias("yb"), F.col("docs").alias("ys")), "yb")
+            .select(F.explode(F.flatten(links)).alias("link"))
+            .select("link.a", "link.b")
+            .distinct()
+        )
+        return stage(found, "rest")
 
 
 def _mixed(placed: DataFrame) -> DataFrame:
     """What lies in buckets of two components or more."""
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    return stage(placed.join(mixed.where("lo <> hi").select("bucket"), "bucket"), "mixed")
+    return placed.join(mixed.where("lo <> hi").select("bucket"), "bucket")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
