@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import ann, decontaminate, language, minhash, pieces, secrets, sharding, suffixes, urls, warc
+from reviewlab.llm import ann, decontaminate, language, minhash, pieces, quality, secrets, sharding, suffixes, urls, warc
 from reviewlab.scratch import fresh_path
 from reviewlab.sources.tables import table
 
@@ -125,7 +125,24 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
-QUERIES = [op1_sharding, op2_url_filters, op3_warc, op4_pieces, op5_language, op6_minhash, op7_decontaminate, op8_secrets, op9_suffixes, op10_ann]
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the labels that are not held out."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = quality.fit(docs.where(~held_out), labels, label="quality")
+    found = docs.select("doc_id", held_out.alias("held_out"), quality.scored(F.col("text"), model).alias("f"))
+    return found.select(
+        "doc_id",
+        "held_out",
+        "f.score",
+        (F.col("f.score") >= 0.7).cast("int").alias("predicted"),
+        "f.passage",
+        "f.weight",
+    )
+
+
+QUERIES = [op1_sharding, op2_url_filters, op3_warc, op4_pieces, op5_language, op6_minhash, op7_decontaminate, op8_secrets, op9_suffixes, op10_ann, op11_quality]
 
 
 def oracle_sql() -> dict[str, str]:
