@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import ann, decontaminate, language, minhash, pieces, quality, secrets, sharding, suffixes, urls, warc
+from reviewlab.llm import ann, decontaminate, language, minhash, pieces, quality, secrets, sharding, suffixes, trie, urls, warc
 from reviewlab.scratch import fresh_path
 from reviewlab.sources.tables import table
 
@@ -142,7 +142,37 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = [op1_sharding, op2_url_filters, op3_warc, op4_pieces, op5_language, op6_minhash, op7_decontaminate, op8_secrets, op9_suffixes, op10_ann, op11_quality]
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Placed turns, with the first turns of every conversation those of the one it stems from.
+
+    Conversation c takes its first h turns from c - c % 5 and goes on with its own turns
+    after its first h; h is a hash of c.
+    """
+    sizes = turns.groupBy("conv").agg(F.count("*").alias("n"))
+    head = (F.crc32(F.col("conv").cast("string")) % 9).alias("h")
+    convs = sizes.select("conv", head, (F.col("conv") - F.col("conv") % 5).alias("base"))
+    convs = convs.join(sizes.select(F.col("conv").alias("base"), F.col("n").alias("n_base")), "base", "left")
+    convs = convs.withColumn("n_base", F.coalesce("n_base", F.lit(0).cast("long")))
+    columns = ("t1", "t2", "bytes")
+    taken = (
+        turns.where("place <= 8")
+        .withColumnRenamed("conv", "base")
+        .join(convs.select("conv", "base", "h"), "base")
+        .where("place <= h")
+        .select("conv", "place", *columns)
+    )
+    place = F.col("place") - F.col("h") + F.least("h", "n_base")
+    own = turns.join(convs, "conv").where("place > h").select("conv", place.alias("place"), *columns)
+    return taken.unionByName(own)
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of the rebuilt conversations."""
+    turns = trie.placed(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return trie.nodes(rebuilt(turns), turns.select("conv"))
+
+
+QUERIES = [op1_sharding, op2_url_filters, op3_warc, op4_pieces, op5_language, op6_minhash, op7_decontaminate, op8_secrets, op9_suffixes, op10_ann, op11_quality, op12_trie]
 
 
 def oracle_sql() -> dict[str, str]:
@@ -160,6 +190,47 @@ from (select doc_id, string_split(regexp_replace(translate(coalesce(text, ''), c
         for i, rule in enumerate(secrets.RULES)
     ]
     return {
+        "op12_trie": """
+with turns as (
+  select conv_id as c, row_number() over (
+      partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as place,
+    coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null),
+alphabet as (
+  select i, list_reduce(list_concat([i::ubigint], range(8)), lambda x, j:
+    case when x % 2 = 1 then xor(x // 2, 3988292384::ubigint) else x // 2 end) as v from range(256) r(i)),
+lookup as (select list(v order by i) as t from alphabet),
+convs as (
+  select c, c - c % 5 as base, xor(list_reduce(list_concat([4294967295::ubigint],
+      list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::ubigint)), lambda x, y:
+      xor(x // 256, t[(xor(x, y) % 256 + 1)::int])), 4294967295::ubigint) % 9 as h
+  from (select distinct c from turns), lookup),
+sizes as (select c, count(*) as n from turns group by c),
+built as (
+  select v.c, t.place, t.role, t.text from convs v join turns t on t.c = v.base and t.place <= v.h
+  union all
+  select v.c, t.place - v.h + least(v.h, coalesce(s.n, 0)), t.role, t.text
+  from convs v join turns t on t.c = v.c and t.place > v.h left join sizes s on s.c = v.base),
+seqs as (
+  select v.c, coalesce(list({'r': role, 't': text} order by place) filter (place is not null), []) as seq
+  from convs v left join built using (c) group by v.c),
+paths as (select c, seq, d::bigint as d, seq[1:d] as key, len(seq) = d as at_end
+          from (select c, seq, unnest(range(len(seq) + 1)) as d from seqs)),
+keyed as (
+  select key, d, min(c) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (at_end), '')) as ends_sha256,
+    coalesce(strlen(any_value(seq)[d].t), 0) as size
+  from paths group by key, d),
+below as (select k.*, p.conv_id as parent_conv_id
+          from keyed k left join keyed p on p.d = k.d - 1 and p.key = k.key[1:k.d - 1]),
+children as (select key[1:d - 1] as key, count(*) as n_children from keyed where d > 0 group by 1),
+own as (select b.*, coalesce(n_children, 0) as n_children from below b left join children using (key)),
+sums as (
+  select key[1:a] as key, sum((n_children = 0)::int)::bigint as n_leaves,
+    sum((n_convs - 1) * size)::bigint as saved_tokens
+  from (select *, unnest(range(d + 1)) as a from own) group by 1)
+select conv_id, d as depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+from own join sums using (key)""",
         "op8_secrets": f"""
 with found as ({" union all ".join(kinds)}),
 listed as (
