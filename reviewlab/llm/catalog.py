@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import ann, decontaminate, language, minhash, pieces, quality, secrets, sharding, suffixes, trie, urls, warc
+from reviewlab.llm import ann, collocations, decontaminate, language, minhash, pieces, quality, secrets, sharding, suffixes, trie, urls, warc
 from reviewlab.scratch import fresh_path
 from reviewlab.sources.tables import table
 
@@ -172,7 +172,12 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(rebuilt(turns), turns.select("conv"))
 
 
-QUERIES = [op1_sharding, op2_url_filters, op3_warc, op4_pieces, op5_language, op6_minhash, op7_decontaminate, op8_secrets, op9_suffixes, op10_ann, op11_quality, op12_trie]
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of each language."""
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
+QUERIES = [op1_sharding, op2_url_filters, op3_warc, op4_pieces, op5_language, op6_minhash, op7_decontaminate, op8_secrets, op9_suffixes, op10_ann, op11_quality, op12_trie, op13_collocations]
 
 
 def oracle_sql() -> dict[str, str]:
@@ -190,6 +195,44 @@ from (select doc_id, string_split(regexp_replace(translate(coalesce(text, ''), c
         for i, rule in enumerate(secrets.RULES)
     ]
     return {
+        "op13_collocations": f"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), '[.,;:!?\n\x0B\f\r]')) as piece
+  from documents),
+split as (
+  select lang, row_number() over () as id,
+    list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') as ws from pieces),
+words as (select lang, id, unnest(ws) as w, unnest(range(len(ws))) as i from split),
+runs as (
+  select lang, w, lead(w, 1) over p as w2, lead(w, 2) over p as w3, lead(w, 3) over p as w4, lead(w, 4) over p as w5
+  from words window p as (partition by id order by i)),
+grams as (
+  select lang, 1 as size, w as phrase from runs
+  union all select lang, 2, w || ' ' || w2 from runs where w2 is not null
+  union all select lang, 3, w || ' ' || w2 || ' ' || w3 from runs where w3 is not null
+  union all select lang, 4, w || ' ' || w2 || ' ' || w3 || ' ' || w4 from runs where w4 is not null
+  union all select lang, 5, w || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 from runs where w5 is not null),
+f as (select lang, size, phrase, count(*) as f from grams group by all),
+total as (select lang, sum(f)::bigint as n from f where size = 1 group by lang),
+cand as (select lang, size, phrase, f as a from f where size > 1 and f >= {collocations.LEAST}),
+cuts as (
+  select c.*, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') as head,
+    array_to_string(string_split(phrase, ' ')[k + 1:], ' ') as tail
+  from cand c, (values (1), (2), (3), (4)) s(k) where k < size),
+scored as (
+  select c.lang, c.size, c.phrase, c.a, x.f as l, y.f as r, n,
+    ((1000::hugeint * a * n) // (x.f::hugeint * y.f))::bigint as score,
+    row_number() over (partition by c.lang, c.phrase order by (1000::hugeint * a * n) // (x.f::hugeint * y.f), k) as place
+  from cuts c join f x on x.lang = c.lang and x.phrase = head join f y on y.lang = c.lang and y.phrase = tail
+    join total t on t.lang = c.lang),
+kept as (
+  select * from scored s where place = 1 and not exists (
+    select 1 from cand b where b.lang = s.lang and b.a = s.a and b.size > s.size
+      and strpos(' ' || b.phrase || ' ', ' ' || s.phrase || ' ') > 0))
+select * from (
+  select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+  from kept) where rank <= {collocations.TOP}""",
         "op12_trie": """
 with turns as (
   select conv_id as c, row_number() over (
