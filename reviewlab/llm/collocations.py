@@ -41,8 +41,8 @@ UNKNOWN = "und"
 LEAST, LONGEST, TOP = 100, 5, 2000
 # Words expanded in the first round, per language; the next ones are so many times more.
 FIRST, MORE = 8000, 4
-# Words of a stored chunk, and bytes of text hashed together.
-CHUNK, SLICE = 1 << 18, 1 << 20
+# Words of a stored chunk, bytes of text hashed together, and bytes before a task writes chunks.
+CHUNK, SLICE, TOGETHER = 1 << 18, 1 << 20, 4 << 20
 # Bits of a table that says which numbers are wanted: 4 MB, whatever the input.
 BITS, PART = 1 << 25, 8 * 4096
 
@@ -121,28 +121,37 @@ def hashed_words(docs: DataFrame, text: str, lang: str, longest: int) -> DataFra
     """Chunks of word numbers; with the first chunk of a batch, its vocabulary."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags: dict[str, Bag] = {}
+        size = 0
         for batch in batches:
-            bags: dict[str, Bag] = {}
-            for name, body in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+            for i, body in enumerate(texts(batch.column(1))):
+                name = batch.column(0)[i].as_py()
                 if name not in bags:
                     bags[name] = Bag(name)
                 bags[name].add(body)
-            for name, bag in bags.items():
-                if not bag.numbers:
-                    continue
-                h, n, names = bag.vocabulary()
-                for i, chunk in enumerate(bag.chunks(longest)):
-                    own = (int(n.sum()), h, n, names) if not i else (0, h[:0], n[:0], [])
-                    yield pa.record_batch(
-                        [
-                            pa.array([name]),
-                            pa.array([chunk], pa.binary()),
-                            pa.array([own[0]], pa.int64()),
-                            *[pa.array([own[k]], pa.list_(pa.int64())) for k in (1, 2)],
-                            pa.array([own[3]], pa.list_(pa.string())),
-                        ],
-                        ["lang", "words", "n_words", "vocab_h", "vocab_n", "vocab_w"],
-                    )
+                size += len(body)
+                if size >= TOGETHER:
+                    yield from written(bags)
+                    bags, size = {}, 0
+        yield from written(bags)
+
+    def written(bags: dict[str, Bag]) -> Iterator[pa.RecordBatch]:
+        for name, bag in bags.items():
+            if not bag.numbers:
+                continue
+            h, n, names = bag.vocabulary()
+            for i, chunk in enumerate(bag.chunks(longest)):
+                own = (int(n.sum()), h, n, names) if not i else (0, h[:0], n[:0], [])
+                yield pa.record_batch(
+                    [
+                        pa.array([name]),
+                        pa.array([chunk], pa.binary()),
+                        pa.array([own[0]], pa.int64()),
+                        *[pa.array([own[k]], pa.list_(pa.int64())) for k in (1, 2)],
+                        pa.array([own[3]], pa.list_(pa.string())),
+                    ],
+                    ["lang", "words", "n_words", "vocab_h", "vocab_n", "vocab_w"],
+                )
 
     rows = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"),
