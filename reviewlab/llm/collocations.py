@@ -28,6 +28,7 @@ phrases of two languages are two. Two words share a number by chance with 2**-64
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,9 @@ UNKNOWN = "und"
 LEAST, LONGEST, TOP = 100, 5, 2000
 # Words expanded in the first round, per language; the next ones are so many times more.
 FIRST, MORE = 8000, 4
-# Words of a stored chunk, bytes of text hashed together, and bytes before a task writes chunks.
-CHUNK, SLICE, TOGETHER = 1 << 18, 1 << 20, 4 << 20
+# Words of a stored chunk, entries of vocabulary beside it, bytes of text hashed together, and
+# bytes before a task writes chunks. Rows of a quarter of a megabyte are light for Spark.
+CHUNK, ENTRIES, SLICE, TOGETHER = 1 << 15, 1 << 13, 1 << 20, 4 << 20
 # Bits of a table that says which numbers are wanted: 4 MB, whatever the input.
 BITS, PART = 1 << 25, 8 * 4096
 
@@ -118,7 +120,7 @@ class Bag:
 
 
 def hashed_words(docs: DataFrame, text: str, lang: str, longest: int) -> DataFrame:
-    """Chunks of word numbers; with the first chunk of a batch, its vocabulary."""
+    """Chunks of word numbers, and beside them the vocabulary of some megabytes of text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bags: dict[str, Bag] = {}
@@ -140,15 +142,16 @@ def hashed_words(docs: DataFrame, text: str, lang: str, longest: int) -> DataFra
             if not bag.numbers:
                 continue
             h, n, names = bag.vocabulary()
-            for i, chunk in enumerate(bag.chunks(longest)):
-                own = (int(n.sum()), h, n, names) if not i else (0, h[:0], n[:0], [])
+            entries = [slice(i, i + ENTRIES) for i in range(0, len(h), ENTRIES)]
+            for chunk, part in zip_longest(bag.chunks(longest), entries, fillvalue=None):
+                part = part or slice(0, 0)
                 yield pa.record_batch(
                     [
                         pa.array([name]),
-                        pa.array([chunk], pa.binary()),
-                        pa.array([own[0]], pa.int64()),
-                        *[pa.array([own[k]], pa.list_(pa.int64())) for k in (1, 2)],
-                        pa.array([own[3]], pa.list_(pa.string())),
+                        pa.array([chunk or b""], pa.binary()),
+                        pa.array([int(n[part].sum())], pa.int64()),
+                        *[pa.array([x[part]], pa.list_(pa.int64())) for x in (h, n)],
+                        pa.array([names[part]], pa.list_(pa.string())),
                     ],
                     ["lang", "words", "n_words", "vocab_h", "vocab_n", "vocab_w"],
                 )
@@ -197,7 +200,7 @@ def _mapped(words: DataFrame, longest: int, count: Callable[[np.ndarray, np.ndar
                     arrays = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, pa.int64()) for c in columns]
                     yield pa.record_batch(arrays, names)
 
-    return words.select("words").mapInArrow(work, kind)
+    return words.where(F.octet_length("words") > 0).select("words").mapInArrow(work, kind)
 
 
 def grown(words: DataFrame, longest: int, frontiers: list[np.ndarray], frequent: np.ndarray) -> DataFrame:
