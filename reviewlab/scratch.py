@@ -65,10 +65,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return under(shared_folder(spark), f"reviewlab-{name}-{uuid.uuid4().hex}")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and read it back."""
+def stage(df: DataFrame, name: str, **options: str | int) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and read it back; ``options`` go to the writer."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored.staged_at = path
     return stored
@@ -81,12 +81,12 @@ def discard(*staged: DataFrame) -> None:
 
 
 @contextmanager
-def temporaries() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+def temporaries() -> Iterator[Callable[..., DataFrame]]:
     """A ``stage`` whose tables go at the end of the block, also on failure."""
     made: list[DataFrame] = []
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        made.append(stage(df, name))
+    def keep(df: DataFrame, name: str, **options: str | int) -> DataFrame:
+        made.append(stage(df, name, **options))
         return made[-1]
 
     try:
