@@ -44,9 +44,11 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 FIRST, MORE = 8000, 4
 # Words of a stored chunk, entries of vocabulary beside it, bytes of text hashed together, and
 # bytes before a task writes chunks. Rows of a quarter of a megabyte are light for Spark.
-CHUNK, ENTRIES, SLICE, TOGETHER = 1 << 15, 1 << 13, 1 << 20, 4 << 20
-# Bits of a table that says which numbers are wanted: 4 MB, whatever the input.
-BITS, PART = 1 << 25, 8 * 4096
+CHUNK, ENTRIES, SLICE, TOGETHER = 1 << 15, 1 << 13, 1 << 18, 1 << 20
+# Bytes of numbers that a task reads into memory together.
+ROW_GROUP = 4 << 20
+# Bits of a table that says which numbers are wanted: 1 MB, whatever the input.
+BITS, PART = 1 << 23, 8 * 4096
 
 IS_SEPARATOR = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 IS_GAP = IS_SEPARATOR | np.isin(np.arange(256), np.frombuffer(b" \t", np.uint8))
@@ -373,7 +375,8 @@ def mined(
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the first ``top`` phrases of each language."""
     with temporaries() as passing:
-        words = passing(hashed_words(docs, text, lang, longest), "words")
+        chunks = hashed_words(docs, text, lang, longest)
+        words = passing(chunks, "words", **{"parquet.block.size": ROW_GROUP})
         totals = words.groupBy("lang").agg(F.sum("n_words").alias("total"))
         counts = words.select("lang", F.explode(F.arrays_zip("vocab_h", "vocab_n")).alias("v")).groupBy(
             "lang", F.col("v.vocab_h").alias("g")
