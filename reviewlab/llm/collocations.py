@@ -32,7 +32,7 @@ from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlab.llm.words import LOWER, mix, span_hashes, texts, word_bounds
@@ -57,7 +57,7 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 WORDS_DDL = (
     "lang string, words binary, n_words long, vocab_h array<long>, vocab_n array<long>, vocab_w array<string>"
 )
-COUNTS_DDL = "g long, p long, w long, n long, before_lo long, before_hi long, after_lo long, after_hi long"
+SIDES_DDL = "g long, before_lo long, before_hi long, after_lo long, after_hi long"
 
 
 def slices(text: np.ndarray) -> Iterator[np.ndarray]:
@@ -205,53 +205,71 @@ def _mapped(words: DataFrame, longest: int, count: Callable[[np.ndarray, np.ndar
     return words.where(F.octet_length("words") > 0).select("words").mapInArrow(work, kind)
 
 
-def grown(words: DataFrame, longest: int, frontiers: list[np.ndarray], frequent: np.ndarray) -> DataFrame:
-    """Counts of the phrases one word longer than those of the last of ``frontiers``.
+def _walk(a: np.ndarray, at: np.ndarray, frontiers: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Where phrases of each frontier may start, by length from 1 on, and their numbers."""
+    at = at[(a[at] != 0) & among(a[at], frontiers[0])]
+    g = a[at]
+    yield at, g
+    for j, bits in enumerate(frontiers[1:], 1):
+        w = a[at + j]
+        g = joined(g, w)
+        keep = (w != 0) & among(g, bits)
+        at, g = at[keep], g[keep]
+        yield at, g
 
-    With the smallest and largest number that stands before and after them; 0 is a break.
-    """
+
+def grown(words: DataFrame, longest: int, frontiers: list[np.ndarray], frequent: np.ndarray) -> DataFrame:
+    """``p, w, n``: counts of the phrases of the last frontier with one more word."""
 
     def count(a: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-        at = at[(a[at] != 0) & among(a[at], frontiers[0])]
-        p = a[at]
-        for j, bits in enumerate(frontiers[1:], 1):
-            w = a[at + j]
-            p = joined(p, w)
-            keep = (w != 0) & among(p, bits)
-            at, p = at[keep], p[keep]
-        size = len(frontiers)
-        w = a[at + size]
+        *_, (at, p) = _walk(a, at, frontiers)
+        w = a[at + len(frontiers)]
         keep = (w != 0) & among(w, frequent)
-        at, p, w = at[keep], p[keep], w[keep]
-        g = joined(p, w)
-        order = np.argsort(g, kind="stable")
-        at, g = at[order], g[order]
-        first = np.flatnonzero(np.append(True, g[1:] != g[:-1])[: len(g)])
-        if not len(first):
-            return [g] * 8
-        # As the signed numbers that Spark compares.
-        before, after = a[at - 1].view(np.int64), a[at + size + 1].view(np.int64)
-        return [
-            g[first],
-            p[order][first],
-            w[order][first],
-            np.diff(np.append(first, len(g))),
-            *[f.reduceat(x, first) for x in (before, after) for f in (np.minimum, np.maximum)],
-        ]
+        p, w = p[keep], w[keep]
+        _, first, n = np.unique(joined(p, w), return_index=True, return_counts=True)
+        return [p[first], w[first], n]
+
+    counts = _mapped(words, longest, count, "p long, w long, n long")
+    return counts.groupBy("p", "w").agg(F.sum("n").alias("n"))
+
+
+def surroundings(words: DataFrame, longest: int, frontiers: list[np.ndarray]) -> DataFrame:
+    """For the phrases of ``frontiers``, the least and the largest number on either side; 0 is a break."""
+
+    def count(a: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        found = []
+        for size, (own, g) in enumerate(_walk(a, at, frontiers), 1):
+            if size == 1 or not len(g):
+                continue
+            order = np.argsort(g, kind="stable")
+            own, g = own[order], g[order]
+            first = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+            # As the signed numbers that Spark compares.
+            sides = a[own - 1].view(np.int64), a[own + size].view(np.int64)
+            found.append([g[first], *[f.reduceat(x, first) for x in sides for f in (np.minimum, np.maximum)]])
+        return [np.concatenate(c) for c in zip(*found)] if found else [at[:0]] * 5
 
     return (
-        _mapped(words, longest, count, COUNTS_DDL)
+        _mapped(words, longest, count, SIDES_DDL)
         .groupBy("g")
         .agg(
-            F.first("p").alias("p"),
-            F.first("w").alias("w"),
-            F.sum("n").alias("n"),
             *[F.min(c).alias(c) for c in ("before_lo", "after_lo")],
             *[F.max(c).alias(c) for c in ("before_hi", "after_hi")],
         )
     )
 
 
+def number_of(p: str, w: str) -> Column:
+    """The number of a phrase and one more word, as a column."""
+
+    @F.arrow_udf("long")
+    def number(p: pa.Array, w: pa.Array) -> pa.Array:
+        found = joined(p.to_numpy().view(np.uint64), w.to_numpy().view(np.uint64))
+        return pa.array(found.view(np.int64))
+
+    return number(p, w)
+
+
 def counted(words: DataFrame, longest: int, starts: np.ndarray, wanted: dict[int, np.ndarray]) -> DataFrame:
     """``g, n`` of the phrases that ``wanted`` may have; by length, from 2 on."""
 
@@ -302,18 +320,14 @@ def _grown_round(
         for size in range(2, longest + 1):
             frontiers.append(bits_of(frontier))
             counts = grown(words, longest, frontiers, frequent).where(F.col("n") >= least)
-            same = [F.col(f"{c}_lo") == F.col(f"{c}_hi") for c in ("before", "after")]
-            other = [F.col(f"{c}_lo") != 0 for c in ("before", "after")]
-            alone = ~((same[0] & other[0]) | (same[1] & other[1])) if size < longest else F.lit(True)
             prefix = frontier.select("lang", "total", F.col("g").alias("p"), "words", "counts")
             frontier = passing(
                 counts.join(prefix, "p").select(
                     "lang",
                     "total",
-                    "g",
+                    number_of("p", "w").alias("g"),
                     F.array_append("words", F.col("w")).alias("words"),
                     F.array_append("counts", F.col("n")).alias("counts"),
-                    alone.alias("survives"),
                 ),
                 "frontier",
             )
@@ -325,6 +339,21 @@ def _grown_round(
         phrases = found[0]
         for more in found[1:]:
             phrases = phrases.unionByName(more)
+        # The longest phrases have nothing longer to stand for them.
+        inner = min(len(found) + 1, longest - 1)
+        if inner > 1:
+            while len(frontiers) < inner:
+                frontiers.append(bits_of(found[len(frontiers) - 1]))
+            same = [
+                (F.col(f"{c}_lo") == F.col(f"{c}_hi")) & (F.col(f"{c}_lo") != 0) for c in ("before", "after")
+            ]
+            sides = surroundings(words, longest, frontiers[:inner])
+            sides = sides.select("g", (~(same[0] | same[1])).alias("alone"))
+            longer = F.size("words") == longest
+            phrases = phrases.join(sides, "g", "left").withColumn("survives", longer | F.col("alone"))
+        else:
+            phrases = phrases.withColumn("survives", F.lit(True))
+        phrases = passing(phrases, "phrases")
         parts = passing(_suffixes(phrases), "suffixes")
         rest = [vocabulary.select(F.col("g").alias("s"), F.col("f").alias("r"))]
         wanted = {}
