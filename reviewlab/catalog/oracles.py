@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from reviewlab.catalog import data_oracles
 from reviewlab.catalog.queries import GERMAN_LETTERS, GERMAN_WORDS, RUN_ID
 from reviewlab.operators.hygiene import MARKED_LETTERS, WORD_PATTERNS
 
@@ -187,7 +188,7 @@ select '{RUN_ID}' as run_id, event, subject, value::double as value from (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return data_oracles.oracle_sql() | {
         "scan_csv": """
         select doc_id as review_id, lang as sentiment, length(text) as n_chars,
                sha256(text) as digest from documents""",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab import sinks
+from reviewlab.catalog import data_queries
 from reviewlab.config import RunConfig
 from reviewlab.contracts import REVIEWS
 from reviewlab.functions import text, vectors
@@ -583,4 +584,5 @@ QUERIES: tuple[Query, ...] = (
     language_scan_report,
     language_scan_summary,
     file_scope,
+    *data_queries.QUERIES,
 )
