@@ -40,8 +40,7 @@ BATCHES = 3
 KEY = ("depth", "h1", "h2")
 # A node: its last prefix, a sequence it lies on, the depth of the node above, its handle, and
 # the first prefix of its edge.
-TRIE_DDL = "hi long, h1 long, h2 long, rep long, lo long, f long, f1 long, f2 long, s1 long, s2 long"
-TRIE = [c.split()[0] for c in TRIE_DDL.split(", ")]
+TRIE = ("hi", "h1", "h2", "rep", "lo", "f", "f1", "f2", "s1", "s2")
 # Depths that an edge is expanded by at a time.
 STRETCH = 4096
 
@@ -202,7 +201,7 @@ def exits(trie: DataFrame, own: DataFrame, paths: DataFrame, ends: DataFrame, mo
     state = ends.select("conv", "n", zero.alias("a"), F.col("n").alias("b"), root.alias("node"))
     keys = _at(own, conv="conv", depth="probe", h1="h1", h2="h2")
     # The power of two that divides the probe falls from round to round.
-    for _ in range(int(most).bit_length() + 1):
+    for _ in range(int(most).bit_length()):
         hit = F.col("hit").isNotNull()
         probe = F.when(F.col("a") < F.col("b"), two_fattest(F.col("a"), F.col("b")))
         state = (
@@ -251,14 +250,22 @@ def exits(trie: DataFrame, own: DataFrame, paths: DataFrame, ends: DataFrame, mo
     )
 
 
-def insert(trie: DataFrame, paths: DataFrame, ends: DataFrame, most: int) -> DataFrame:
-    """``trie`` with the sequences ``ends`` (``conv, n``); ``paths`` holds theirs and its own."""
+def insert(trie: DataFrame | None, paths: DataFrame, ends: DataFrame, most: int) -> DataFrame:
+    """``trie`` with the sequences ``ends`` (``conv, n``); ``paths`` holds theirs and its own.
+
+    From a trie that is its root (None) every sequence leaves at once.
+    """
     with temporaries() as passing:
         own = passing(paths.join(ends.select("conv"), "conv", "left_semi"), "own")
-        state = passing(exits(trie, own, paths, ends, most), "exits")
-        after = own.join(state, "conv").where("depth >= cut")
+        if trie is None:
+            zero = F.lit(0).cast("long")
+            state = ends.select("conv", "n", zero.alias("full"), zero.alias("cut"))
+        else:
+            state = passing(exits(trie, own, paths, ends, most), "exits")
+        after = own.join(state.select("conv", "n", "cut"), "conv").where("depth >= cut")
         # Where a sequence ends, where it leaves the trie, and where new sequences part.
         points = after.where("depth = n or depth = cut").select("conv", *KEY)
+        # The keys of two children differ in their hashes.
         child = F.struct("h1", "h2")
         parted = (
             after.where("depth > cut + 1")
@@ -271,8 +278,9 @@ def insert(trie: DataFrame, paths: DataFrame, ends: DataFrame, most: int) -> Dat
             points.unionByName(parted)
             .groupBy(*KEY)
             .agg(F.min("conv").alias("rep"))
-            .join(trie.select(F.col("hi").alias("depth"), "h1", "h2"), list(KEY), "left_anti")
         )
+        if trie is not None:
+            new = new.join(trie.select(F.col("hi").alias("depth"), "h1", "h2"), list(KEY), "left_anti")
         new = passing(new, "points")
         # The node above: of the new ones on the path of a sequence, and else its last old one.
         above = Window.partitionBy("conv").orderBy("depth")
@@ -285,6 +293,8 @@ def insert(trie: DataFrame, paths: DataFrame, ends: DataFrame, most: int) -> Dat
             .agg(F.max("lo").alias("lo"))
         )
         added = new.join(lows, list(KEY)).select(F.col("depth").alias("hi"), "h1", "h2", "rep", "lo")
+        if trie is None:
+            return stage(_with_handles(added, paths), "trie")
         shorter = (
             state.where("edge is not null and cut < edge.hi")
             .groupBy("edge.hi", "edge.h1", "edge.h2")
@@ -307,13 +317,14 @@ def _with_handles(nodes: DataFrame, paths: DataFrame) -> DataFrame:
 def built(paths: DataFrame, ends: DataFrame, batches: int = BATCHES) -> DataFrame:
     """The compacted trie of all sequences, without its root; each batch doubles it."""
     most = ends.agg(F.max("n")).first()[0] or 0
-    trie = stage(ends.sparkSession.createDataFrame([], TRIE_DDL), "trie")
+    trie = None
     # Of 2 ** (batches - 1) lots, one, one, two, four and so on.
     lot = F.pmod(F.xxhash64("conv", F.lit(3)), F.lit(1 << (batches - 1)))
     for i in range(batches):
         low, high = (1 << i) >> 1, 1 << i
         before, trie = trie, insert(trie, paths, ends.where((lot >= low) & (lot < high)), most)
-        discard(before)
+        if before is not None:
+            discard(before)
     return trie
 
 
