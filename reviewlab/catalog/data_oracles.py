@@ -61,6 +61,14 @@ select l as left_id, r as right_id, case when dg = 0 and ag = 0 then 'exact' els
   dg as day_gap, round(ag, 2) as amount_gap, round(d, 6) as residual from matched
 union all select id, null, 'left_only', null, null, null from lines where id not in (select l from matched)
 union all select null, id, 'right_only', null, null, null from theirs where id not in (select r from matched)""",
+        "layered_orders": """
+with o as (select o_orderkey as n, o_custkey as custkey, o_orderstatus as status, round(o_totalprice * 100)::bigint as cents from orders),
+now as (
+  select custkey, status, case when n % 5 = 0 then cents + n else cents end as cents from o where n % 7 <> 3
+  union all select custkey, status, cents from o where n % 11 = 1)
+select case when custkey % 9 = 0 then 'MOVED' else c_mktsegment end as segment, status, count(*) as row_count,
+  sum(cents)::bigint as total, min(cents) as least, max(cents) as largest
+from now join customer on c_custkey = custkey group by all""",
         "stream_scores": """
 select doc_id as review_id, 1::bigint as stored, true as same_score from documents where doc_id is not null""",
         "stream_windows": """

@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.operators import history, models, reconcile
+from reviewlab.operators import deltas, history, models, reconcile
 from reviewlab.plans.compare import training_rows
 from reviewlab.plans.featurize import hashed_counts, tokens_of
 from reviewlab.scratch import fresh_path, stage
@@ -142,4 +142,34 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (customer_history, orders_as_of, reconcile_lines, stream_scores, stream_windows)
+def layered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by segment and status, kept up to date through two rounds of changes.
+
+    First orders go, come and change their price; then customers change their segment.
+    """
+    cents = F.round(F.col("o_totalprice") * 100).cast("decimal(20,0)").alias("cents")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("custkey"), F.col("o_orderstatus").alias("status"), cents)
+    people = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("segment"))
+    n = F.col("o_orderkey")
+    changed = orders.where(n % 7 != 3).withColumn("cents", F.when(n % 5 == 0, F.col("cents") + n).otherwise(F.col("cents")).cast("decimal(20,0)"))
+    added = orders.where(n % 11 == 1).withColumn("o_orderkey", -n)
+    after = changed.unionByName(added)
+    moved = people.withColumn("segment", F.when(F.col("custkey") % 9 == 0, "MOVED").otherwise(F.col("segment")))
+
+    path, keys = fresh_path(spark, "layer"), ["segment", "status"]
+    none = deltas.weighted(orders).where("false")
+    nobody = deltas.weighted(people).where("false")
+    # What was, and what changes, of orders and of customers.
+    rounds = (
+        (none, deltas.weighted(orders), nobody, deltas.weighted(people)),
+        (deltas.weighted(orders), deltas.difference(orders, after), deltas.weighted(people), nobody),
+        (deltas.weighted(after), none, deltas.weighted(people), deltas.difference(people, moved)),
+    )
+    for left, left_change, right, right_change in rounds:
+        change = deltas.joined(left, left_change, right, right_change, ["custkey"])
+        deltas.update_layer(spark, path, change, keys, "cents")
+    found = deltas.summary(deltas.layer(spark, path), keys, "cents")
+    return found.select(*keys, "row_count", *[F.col(c).cast("long").alias(c) for c in ("total", "least", "largest")])
+
+
+QUERIES = (customer_history, orders_as_of, reconcile_lines, stream_scores, stream_windows, layered_orders)
