@@ -175,3 +175,39 @@ def test_a_run_stages_in_its_own_folder_and_removes_it(spark, tmp_path):
         raise KeyError
     assert not folder.exists()
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_digests_by_ranges_cover_every_byte(spark, tmp_path):
+    import hashlib
+
+    files = {"empty.bin": b"", "one.bin": b"x", "even.bin": bytes(range(256)) * 2, "cut by%20its last.bin": b"ab" * 333}
+    (tmp_path / "in").mkdir()
+    for name, body in files.items():
+        (tmp_path / "in" / name).write_bytes(body)
+    whole = manifest.file_manifest(spark, str(tmp_path / "in")).collect()
+    found = {r["path"].rsplit("/", 1)[1]: (r["length"], r["digest"]) for r in whole}
+    assert found == {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in files.items()}
+    size = 128
+    parts = manifest.file_manifest(spark, str(tmp_path / "in"), range_bytes=size).collect()
+    found = {r["path"].rsplit("/", 1)[1]: (r["length"], r["digest"]) for r in parts}
+    want = {}
+    for name, body in files.items():
+        each = [hashlib.sha256(body[i : i + size]).hexdigest() for i in range(0, max(len(body), 1), size)]
+        want[name] = len(body), hashlib.sha256("".join(each).encode()).hexdigest()
+    assert found == want
+
+
+def test_pending_files_are_read_in_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(manifest, "GROUP", 2)
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(50).repartition(5).write.parquet(source)
+    offered = manifest.file_manifest(spark, source, pattern="*.parquet")
+    asked = []
+
+    def read(paths):
+        asked.append(len(paths))
+        return spark.read.parquet(*paths)
+
+    assert manifest.load_pending(spark, read, offered, target).count() == 5
+    assert asked == [2, 2, 1] and spark.read.parquet(target).count() == 50
+    assert manifest.load_pending(spark, read, offered, target).count() == 0 and len(asked) == 3
