@@ -17,6 +17,27 @@ changes(custkey, moment, ord, removed, segment, nation) as (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "evolved_events": """
+select event_id as event, user_id as user, event_type as kind,
+  case when event_id % 4 < 2 then floor(value)::int::double else value end as amount,
+  case event_id % 4 when 0 then null when 2 then date_trunc('day', ts)::timestamp else ts::timestamp end as at,
+  case event_id % 4 when 2 then event_id::varchar when 3 then props end as note
+from events""",
+        "schema_conflicts": """
+select 'note' as "column", case event_id % 4 when 2 then 'bigint' else 'string' end as type, count(*) as row_count
+from events where event_id % 4 >= 2 group by all""",
+        "recoded_events": """
+with recursive mapping(version, old, new, weight) as (values
+  (1, 'click', 'tap', 1.0), (2, 'tap', 'press', 0.75), (2, 'tap', 'swipe', 0.25), (2, 'view', 'look', 1.0),
+  (3, 'swipe', 'press', 0.5), (3, 'swipe', 'drag', 0.5), (3, 'error', 'fault', 1.0)),
+walk as (
+  select distinct event_id % 4 + 1 as list, event_type as code, event_id % 4 + 1 as step, event_type as now, 1.0::double as share from events
+  union all
+  select list, code, step + 1, coalesce(new, now), share * coalesce(weight, 1)
+  from walk left join mapping on version = step and old = now where step < 4),
+ends as (select list, code, now, sum(share) as share from walk where step = 4 group by all)
+select ts::date as day, now as code, count(*) as row_count, round(sum(share), 4) as weight
+from events join ends on list = event_id % 4 + 1 and code = event_type group by all""",
         "customer_history": f"""
 with {CHANGES},
 told as (select * from changes qualify row_number() over (partition by custkey, moment order by ord desc) = 1),

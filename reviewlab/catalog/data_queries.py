@@ -14,6 +14,7 @@ from reviewlab.operators import deltas, history, models, reconcile
 from reviewlab.plans.compare import training_rows
 from reviewlab.plans.featurize import hashed_counts, tokens_of
 from reviewlab.scratch import fresh_path, stage
+from reviewlab.sources import evolution
 from reviewlab.sources.tables import labelled_reviews, table
 from reviewlab.streaming import scoring
 
@@ -172,4 +173,51 @@ def layered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*keys, "row_count", *[F.col(c).cast("long").alias(c) for c in ("total", "least", "largest")])
 
 
-QUERIES = (customer_history, orders_as_of, reconcile_lines, stream_scores, stream_windows, layered_orders)
+def _event_files(spark: SparkSession, sf_dir: str) -> str:
+    """All events in files of four schemas: columns renamed, widened, added, and one turned to text."""
+    path = fresh_path(spark, "versions")
+    n = F.col("event_id")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    made = (
+        {"id": (1, n.cast("int")), "who": (2, F.col("user_id").cast("int")), "what": (3, F.col("event_type")), "amount": (4, F.floor("value").cast("int"))},
+        {"id": (1, n), "who": (2, F.col("user_id").cast("int")), "kind": (3, F.col("event_type")), "amount": (4, F.floor("value").cast("int")), "at": (5, F.col("ts"))},
+        {"event": (1, n), "user": (2, F.col("user_id")), "kind": (3, F.col("event_type")), "amount": (4, F.col("value")), "at": (5, F.to_date("ts")), "note": (6, n)},
+        {"event": (1, n), "user": (2, F.col("user_id")), "kind": (3, F.col("event_type")), "amount": (4, F.col("value")), "at": (5, F.col("ts")), "note": (6, F.col("props"))},
+    )
+    for version, fields in enumerate(made):
+        columns = [c.alias(name, metadata={evolution.FIELD_ID: number}) for name, (number, c) in fields.items()]
+        events.where(n % 4 == version).select(*columns).write.parquet(f"{path}/v{version}")
+    return path
+
+
+def evolved_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of four schemas as one table, under the newest names and the least common types."""
+    return evolution.read_evolved(spark, _event_files(spark, sf_dir)).select("event", "user", "kind", "amount", "at", "note")
+
+
+def schema_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of those files that no exact type holds: each type with its rows."""
+    return evolution.conflicts(spark, _event_files(spark, sf_dir)).select("column", "type", "row_count")
+
+
+def recoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event types of code lists 1 to 3 in list 4, splits by weight: rows and weights per day and code."""
+    mapping = spark.createDataFrame(
+        [
+            (1, "click", "tap", 1.0),
+            (2, "tap", "press", 0.75),
+            (2, "tap", "swipe", 0.25),
+            (2, "view", "look", 1.0),
+            (3, "swipe", "press", 0.5),
+            (3, "swipe", "drag", 0.5),
+            (3, "error", "fault", 1.0),
+        ],
+        "version int, old string, new string, weight double",
+    )
+    listed = (F.col("event_id") % 4 + 1).cast("int").alias("list")
+    events = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), F.col("event_type").alias("code"), listed)
+    found = evolution.recoded(events, mapping, "code", "list", 4)
+    return found.groupBy("day", "code").agg(F.count(F.lit(1)).alias("row_count"), F.round(F.sum("weight"), 4).alias("weight"))
+
+
+QUERIES = (evolved_events, schema_conflicts, recoded_events, customer_history, orders_as_of, reconcile_lines, stream_scores, stream_windows, layered_orders)

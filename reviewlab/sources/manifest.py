@@ -90,14 +90,8 @@ def _digests(ranges: DataFrame) -> DataFrame:
     """``ranges`` (``path, length, start, end``) with the SHA-256 of their bytes."""
 
     def digest(path: str, start: int, end: int) -> str:
-        scheme, _, rest = path.partition(":")
-        # Local names are taken as they are: a uri would have signs in them decoded.
-        if scheme == "file":
-            system, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
-        else:
-            system, name = fs.FileSystem.from_uri(f"{CLIENTS[scheme]}:{rest}")
         found = hashlib.sha256()
-        with system.open_input_file(name) as file:
+        with opened(path) as file:
             file.seek(start)
             while start < end:
                 block = file.read(min(BLOCK_BYTES, end - start))
@@ -117,6 +111,17 @@ def _digests(ranges: DataFrame) -> DataFrame:
     return spread.mapInArrow(work, "path string, length long, start long, end long, digest string")
 
 
+def opened(path: str) -> pa.NativeFile:
+    """A file of one of ``CLIENTS``, for a task that reads parts of it."""
+    scheme, _, rest = path.partition(":")
+    # Local names are taken as they are: a uri would have signs in them decoded.
+    if scheme == "file":
+        system, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        system, name = fs.FileSystem.from_uri(f"{CLIENTS[scheme]}:{rest}")
+    return system.open_input_file(name)
+
+
 def plain_path(path: str) -> str:
     """Local files by one name: readers say ``file:/x`` or ``file:///x``."""
     return re.sub("^file:/+", "file:/", path)
