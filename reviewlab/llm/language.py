@@ -6,16 +6,19 @@ whose codeword costs least, each bit weighed by how well it was learned, is chos
 text is ambiguous if its bits are further from the codeword than the code corrects, or
 if two languages cost nearly the same.
 
-Learning takes about ``sample_rows`` labelled rows, as many of each language, drawn with
-a fixed seed, and at most twice as many; each bit is learned in a task of its own. Prediction
-reads whole texts where they lie, without a shuffle. Texts that are null or have no
+Learning takes about ``sample_rows`` labelled rows, as many of each language (``EACH`` at
+least), drawn by a hash of the text, so the same rows on any layout of the files and after
+a lost task; copies of a drawn text count once. Each bit is learned in a task of its own. Prediction
+reads whole texts where they lie, without a shuffle. There may be any number of labels: the
+driver and each task hold one codeword for each. Texts that are null or have no
 letter are ``und`` with score 0, and so is everything if nothing was learned. Null
-labels are not learned from; equal rows count as often as they occur.
+labels are not learned from.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,7 +31,12 @@ from reviewlab.llm.words import texts
 UNKNOWN = "und"
 BINS = 4096
 SAMPLE_ROWS = 2000
-MAX_LANGUAGES = 1000
+# Rows of each language that are drawn at least, however many languages there are.
+EACH = 4
+# Codewords are the best of as many draws as compare about this many pairs.
+PAIRS = 50_000_000
+# Losses held at a time, in numbers.
+LOSSES = 1 << 22
 # Under this share of the best language a text is ambiguous.
 CLEAR = 0.6
 
@@ -50,19 +58,29 @@ def trigrams(text: np.ndarray) -> np.ndarray:
 
 def codewords(n: int, seed: int = 5) -> np.ndarray:
     """``n`` rows of -1 and 1. All ways to part up to seven languages; random ones beyond,
-    the best of a hundred draws by the smallest distance of two rows."""
+    the best of up to a hundred draws by the smallest distance of two rows."""
     if n <= 7:
         parts = range(1, 2 ** max(n - 1, 0))
         return np.array([[1 if p >> i & 1 else -1 for p in parts] for i in range(n)]).reshape(n, len(parts))
     rng = np.random.Generator(np.random.PCG64(seed))
     width = 10 * int(np.ceil(np.log2(n)))
-    draws = [rng.choice([-1, 1], (n, width)) for _ in range(100)]
-    return max(draws, key=_distance)
+    draws = [rng.choice([-1, 1], (n, width)) for _ in range(max(1, min(100, PAIRS // n**2)))]
+    return max(draws, key=_distance) if len(draws) > 1 else draws[0]
 
 
 def _distance(codes: np.ndarray) -> int:
-    apart = (codes.shape[1] - codes @ codes.T) // 2
-    return int(apart[~np.eye(len(codes), dtype=bool)].min()) if len(codes) > 1 else 0
+    """The smallest distance of two rows, found for some rows at a time."""
+    n, width = codes.shape
+    if n < 2:
+        return 0
+    signs = codes.astype(np.float32)
+    step = max(1, LOSSES // n)
+    least = width
+    for at in range(0, n, step):
+        same = signs[at : at + step] @ signs.T
+        same[np.arange(len(same)), np.arange(at, at + len(same))] = -width
+        least = min(least, int(width - same.max()) // 2)
+    return least
 
 
 @dataclass
@@ -73,15 +91,25 @@ class Model:
     bias: np.ndarray
     trust: np.ndarray
 
-    def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number of the language, its share, and whether it is ambiguous."""
-        z = x @ self.weights.T + self.bias
-        loss = (self.trust * np.logaddexp(0, -self.codes[None] * z[:, None])).sum(axis=2)
+    @cached_property
+    def corrects(self) -> int:
+        """How many wrong bits the code corrects."""
+        return (_distance(self.codes) - 1) // 2
+
+    def decode(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each row of bits: number of the language, its share, and whether it is ambiguous."""
+        step = max(1, LOSSES // len(self.languages))
+        parts = [self._decode(z[at : at + step]) for at in range(0, max(len(z), 1), step)]
+        return tuple(np.concatenate(p) for p in zip(*parts))
+
+    def _decode(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ones = (self.codes > 0).astype(float)
+        # The loss of a bit is one of two numbers, by its sign in the codeword.
+        loss = (self.trust * np.logaddexp(0, -z)) @ ones.T + (self.trust * np.logaddexp(0, z)) @ (1 - ones).T
         best = loss.argmin(axis=1)
-        share = np.exp(loss.min(axis=1, keepdims=True) - loss)
-        share = 1 / share.sum(axis=1)
+        share = 1 / np.exp(loss.min(axis=1, keepdims=True) - loss).sum(axis=1)
         wrong = (np.sign(z) != self.codes[best]).sum(axis=1)
-        return best, share, (wrong > (_distance(self.codes) - 1) // 2) | (share < CLEAR)
+        return best, share, (wrong > self.corrects) | (share < CLEAR)
 
 
 def _learn(x: np.ndarray, y: np.ndarray, steps: int = 150, penalty: float = 1e-4) -> tuple:
@@ -104,28 +132,29 @@ def fit(rows: DataFrame, *, text: str, label: str, sample_rows: int = SAMPLE_ROW
     """Learn from the labelled rows."""
     rows = rows.select(F.col(text).alias("text"), F.col(label).alias("label"))
     rows = rows.where("text is not null and label is not null").where(has_letter(F.col("text")))
-    counts = rows.groupBy("label").count().orderBy("label").limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = rows.groupBy("label").count().orderBy("label").collect()
     languages = [r["label"] for r in counts]
     codes = codewords(len(languages))
     width = codes.shape[1] if languages else 0
     if not width:
         return Model(languages, np.ones((len(languages), 0)), np.zeros((0, BINS)), np.zeros(0), np.zeros(0))
-    each = sample_rows / len(languages)
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], min(1.0, each / r["count"]))])
-    sample = rows.where(F.rand(5) < share[F.col("label")]).limit(2 * sample_rows)
-    number = F.array_position(F.array(*map(F.lit, languages)), F.col("label")).cast("int") - 1
+    each = max(sample_rows / len(languages), EACH)
+    shares = [(r["label"], i, min(1.0, each / r["count"])) for i, r in enumerate(counts)]
+    known = rows.sparkSession.createDataFrame(shares, "label string, language int, share double")
+    drawn = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 40)) < F.col("share") * (1 << 40)
+    # The join is one on labels, broadcast by size; only what is drawn is exchanged.
+    sample = rows.join(known, "label").where(drawn).withColumn("key", F.xxhash64("text")).dropDuplicates(["language", "key"])
 
     @F.arrow_udf("binary")
     def features(column: pa.Array) -> pa.Array:
         return pa.array([trigrams(t).tobytes() for t in texts(column)], pa.binary())
 
-    sample = sample.select(number.alias("language"), features("text").alias("x"))
+    sample = sample.select("language", "key", features("text").alias("x"))
     bits = sample.withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         bit = int(pdf["bit"].iloc[0])
+        pdf = pdf.sort_values(["language", "key"])
         x = np.frombuffer(b"".join(pdf["x"]), np.float32).reshape(-1, BINS)
         w, bias, trust = _learn(x, codes[pdf["language"].to_numpy(), bit].astype(float))
         return pd.DataFrame({"bit": [bit], "w": [w.tolist()], "bias": [bias], "trust": [trust]})
@@ -159,8 +188,7 @@ def identified(text: Column, model: Model) -> Column:
             weights = model.weights.T.astype(np.float32)
             z = [trigrams(t) @ weights if t is not None else weights[0] for t in texts(column)]
             z = np.array(z, float).reshape(len(column), -1)
-            one = Model(model.languages, model.codes, np.eye(z.shape[1]), model.bias, model.trust)
-            best, score, unsure = one.decode(z)
+            best, score, unsure = model.decode(z + model.bias)
             found = [model.languages[i] for i in best], score, unsure
         return pa.StructArray.from_arrays(
             [pa.array(found[0], pa.string()), pa.array(found[1]), pa.array(found[2])],

@@ -151,6 +151,43 @@ def test_codewords_are_apart():
         assert language._distance(codes) >= max(1, codes.shape[1] // 4)
 
 
+@pytest.mark.parametrize("n", [2, 5, 9, 300])
+def test_decoding_is_the_nearest_codeword(monkeypatch, n):
+    monkeypatch.setattr(language, "LOSSES", 1000)
+    rng = np.random.default_rng(n)
+    codes = language.codewords(n)
+    bits = codes.shape[1]
+    trust = rng.uniform(0.05, 1, bits)
+    model = language.Model([str(i) for i in range(n)], codes, np.zeros((bits, 1)), np.zeros(bits), trust)
+    z = rng.normal(0, 3, (20, bits))
+    z[:n] = 4 * codes[: len(z[:n])]
+    apart = min(int((a != b).sum()) for i, a in enumerate(codes) for b in codes[:i])
+    assert language._distance(codes) == apart
+    best, share, unsure = model.decode(z)
+    for row, i, s, u in zip(z, best, share, unsure):
+        loss = [sum(t * np.log1p(np.exp(-c * x)) for t, c, x in zip(trust, code, row)) for code in codes]
+        assert loss[i] == pytest.approx(min(loss))
+        assert s == pytest.approx(1 / sum(np.exp(min(loss) - x) for x in loss))
+        wrong = sum((x > 0) != (c > 0) for c, x in zip(codes[i], row))
+        assert u == (wrong > (apart - 1) // 2 or s < language.CLEAR)
+    assert list(best[: min(n, 20)]) == list(range(min(n, 20)))
+
+
+def test_more_than_a_thousand_labels_and_any_layout(spark):
+    words = ["".join(chr(97 + (k * 7 + j * k) % 26) for j in range(6)) for k in range(1100)]
+    rows = [(f"{w} {w} {i}", f"l{k}") for k, w in enumerate(words) for i in range(2)] + [(f"{words[0]} x", "l0")] * 50
+    df = spark.createDataFrame(rows, "text string, lang string")
+    assert len(language.codewords(1100)) == 1100
+    # Few rows are enough to see that nothing is refused and that files do not matter.
+    two = df.where("lang in ('l0', 'l1', 'l2')")
+    one, other = (language.fit(x, text="text", label="lang") for x in (two.coalesce(1), two.orderBy(F.desc("text")).repartition(7)))
+    assert np.array_equal(one.weights, other.weights) and np.array_equal(one.trust, other.trust)
+    model = language.fit(df, text="text", label="lang")
+    assert len(model.languages) == 1100 and model.codes.shape[1] == 110
+    found = df.select("lang", language.identified(F.col("text"), model)["lang"].alias("f"))
+    assert found.where("f is null or f = 'und'").count() == 0
+
+
 ASSIGN = re.compile(r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 SECRETS = [
     None,
