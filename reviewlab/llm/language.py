@@ -35,6 +35,8 @@ SAMPLE_ROWS = 2000
 EACH = 4
 # Codewords are the best of as many draws as compare about this many pairs.
 PAIRS = 50_000_000
+# Labels up to this size are sent to every task.
+LABEL_BYTES = 1 << 23
 # Losses held at a time, in numbers.
 LOSSES = 1 << 22
 # Under this share of the best language a text is ambiguous.
@@ -142,7 +144,9 @@ def fit(rows: DataFrame, *, text: str, label: str, sample_rows: int = SAMPLE_ROW
     shares = [(r["label"], i, min(1.0, each / r["count"])) for i, r in enumerate(counts)]
     known = rows.sparkSession.createDataFrame(shares, "label string, language int, share double")
     drawn = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 40)) < F.col("share") * (1 << 40)
-    # The join is one on labels, broadcast by size; only what is drawn is exchanged.
+    # Only what is drawn is exchanged, unless the labels themselves are too many to broadcast.
+    if sum(len(name) + 16 for name in languages) < LABEL_BYTES:
+        known = F.broadcast(known)
     sample = rows.join(known, "label").where(drawn).withColumn("key", F.xxhash64("text")).dropDuplicates(["language", "key"])
 
     @F.arrow_udf("binary")
