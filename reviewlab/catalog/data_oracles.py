@@ -17,6 +17,34 @@ changes(custkey, moment, ord, removed, segment, nation) as (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "quality_rules": """
+with found(rule, checked, failed) as (
+  select 'orders.key', count(*), coalesce(sum(case when n > 1 then 1 end), 0)
+  from (select count(*) over (partition by o_orderkey) as n from orders where o_orderkey is not null)
+  union all select 'orders.customer_day', count(*), coalesce(sum(case when n > 1 then 1 end), 0)
+  from (select count(*) over (partition by o_custkey, o_orderdate) as n from orders where o_custkey is not null and o_orderdate is not null)
+  union all select 'orders.customer', count(*), count(*) filter (o_custkey not in (select c_custkey from customer)) from orders where o_custkey is not null
+  union all select 'orders.price', count(*), count(*) filter (o_totalprice not between 1000 and 400000) from orders
+  union all select 'orders.status', count(*), count(*) filter (o_orderstatus is null or o_orderstatus not in ('O', 'F')) from orders
+  union all select 'orders.urgent', count(*), case when count(*) filter (o_orderpriority = '1-URGENT') >= 0.15 * count(*) then 0
+    else count(*) - count(*) filter (o_orderpriority = '1-URGENT') end from orders
+  union all select 'orders.fresh', count(*), case when max(o_orderdate) >= timestamp '2024-01-01' then 0 else 1 end from orders
+  union all select 'lines.key', count(*), coalesce(sum(case when n > 1 then 1 end), 0)
+  from (select count(*) over (partition by l_orderkey, l_linenumber) as n from lineitem where l_orderkey is not null and l_linenumber is not null)
+  union all select 'lines.order', count(*), count(*) filter (l_orderkey not in (select o_orderkey from orders)) from lineitem where l_orderkey is not null
+  union all select 'lines.quantity', count(*), count(*) filter (l_quantity not between 1 and 45) from lineitem
+  union all select 'lines.price', count(*), count(*) filter (not coalesce(l_extendedprice * (1 - l_discount) > 1500, false)) from lineitem
+  union all select 'events.user', count(*), count(*) filter (user_id is null) from events
+  union all select 'events.customer', count(*), count(*) filter (user_id not in (select c_custkey from customer)) from events where user_id is not null
+  union all select 'events.type', count(*), count(*) filter (event_type is null or event_type = 'error') from events
+  union all select 'events.small', count(*), case when count(*) filter (value < 20) >= 0.5 * count(*) then 0
+    else count(*) - count(*) filter (value < 20) end from events)
+select rule, checked::bigint as checked, failed::bigint as failed, failed = 0 as passed from found""",
+        "quarantined_lines": """
+select l_orderkey as orderkey, broken, count(*) as row_count
+from (select l_orderkey, concat_ws(',', case when l_quantity not between 1 and 45 then 'lines.quantity' end,
+        case when not coalesce(l_extendedprice * (1 - l_discount) > 1500, false) then 'lines.price' end) as broken from lineitem)
+where broken <> '' group by all""",
         "evolved_events": """
 select event_id as event, user_id as user, event_type as kind,
   case when event_id % 4 < 2 then floor(value)::int::double else value end as amount,

@@ -6,11 +6,13 @@ can make them, too.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.operators import deltas, history, models, reconcile
+from reviewlab.operators import deltas, history, models, reconcile, rules
 from reviewlab.plans.compare import training_rows
 from reviewlab.plans.featurize import hashed_counts, tokens_of
 from reviewlab.scratch import fresh_path, stage
@@ -220,4 +222,41 @@ def recoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("day", "code").agg(F.count(F.lit(1)).alias("row_count"), F.round(F.sum("weight"), 4).alias("weight"))
 
 
-QUERIES = (evolved_events, schema_conflicts, recoded_events, customer_history, orders_as_of, reconcile_lines, stream_scores, stream_windows, layered_orders)
+ORDER_RULES = (
+    rules.Unique("orders.key", ("o_orderkey",)),
+    rules.Unique("orders.customer_day", ("o_custkey", "o_orderdate")),
+    rules.ForeignKey("orders.customer", ("o_custkey",), "customer", ("c_custkey",)),
+    rules.Range("orders.price", "o_totalprice", 1000.0, 400000.0),
+    rules.Condition("orders.status", "o_orderstatus in ('O', 'F')"),
+    rules.Share("orders.urgent", "o_orderpriority = '1-URGENT'", 0.15),
+    rules.Fresh("orders.fresh", "o_orderdate", datetime(2024, 1, 1)),
+)
+LINE_RULES = (
+    rules.Unique("lines.key", ("l_orderkey", "l_linenumber")),
+    rules.ForeignKey("lines.order", ("l_orderkey",), "orders", ("o_orderkey",)),
+    rules.Range("lines.quantity", "l_quantity", 1.0, 45.0),
+    rules.Condition("lines.price", "l_extendedprice * (1 - l_discount) > 1500"),
+)
+EVENT_RULES = (
+    rules.NotNull("events.user", "user_id"),
+    rules.ForeignKey("events.customer", ("user_id",), "customer", ("c_custkey",)),
+    rules.Condition("events.type", "event_type <> 'error'"),
+    rules.Share("events.small", "value < 20", 0.5),
+)
+
+
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules declared on orders, lines and events: a verdict for each."""
+    tables = {name: table(spark, sf_dir, name) for name in ("orders", "lineitem", "events", "customer")}
+    return rules.verdicts(tables, {"orders": ORDER_RULES, "lineitem": LINE_RULES, "events": EVENT_RULES})
+
+
+def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that break a rule, counted by order and by what they break."""
+    found = rules.quarantined(table(spark, sf_dir, "lineitem"), LINE_RULES)
+    return found.groupBy(F.col("l_orderkey").alias("orderkey"), F.array_join("broken", ",").alias("broken")).agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+QUERIES = (quality_rules, quarantined_lines, evolved_events, schema_conflicts, recoded_events, customer_history, orders_as_of, reconcile_lines, stream_scores, stream_windows, layered_orders)
