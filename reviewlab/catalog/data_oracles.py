@@ -17,6 +17,21 @@ changes(custkey, moment, ord, removed, segment, nation) as (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "tokenised_orders": """
+with recursive k(name, secret) as (select n, sha256(n) from (values ('first key'), ('second key')) v(n)),
+walk(custkey, name, secret, i, a, b) as (
+  select c_custkey, name, secret, 0, substr(lpad(c_custkey::varchar, 9, '0'), 1, 4)::bigint, substr(lpad(c_custkey::varchar, 9, '0'), 5, 5)::bigint
+  from customer, k
+  union all
+  select custkey, name, secret, i + 1,
+    case when i % 2 = 0 then (a + ('0x' || substr(sha256(concat_ws(':', secret, i, 9, b)), 1, 14))::bigint) % 10000 else a end,
+    case when i % 2 = 1 then (b + ('0x' || substr(sha256(concat_ws(':', secret, i, 9, a)), 1, 14))::bigint) % 100000 else b end
+  from walk where i < 10),
+ends as (select custkey, name, 'C-' || lpad(a::varchar, 4, '0') || lpad(b::varchar, 5, '0') as token from walk where i = 10),
+counted as (select o_custkey, count(*) as n from orders group by o_custkey)
+select f.token, coalesce(n, 0)::bigint as row_count, 'C-' || lpad(f.custkey::varchar, 9, '0') as customer, s.token as rotated
+from ends f join ends s on f.custkey = s.custkey and f.name = 'first key' and s.name = 'second key'
+left join counted on o_custkey = f.custkey""",
         "quality_rules": """
 with found(rule, checked, failed) as (
   select 'orders.key', count(*), coalesce(sum(case when n > 1 then 1 end), 0)

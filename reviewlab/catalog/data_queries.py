@@ -12,6 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlab.functions import tokens
 from reviewlab.operators import deltas, history, models, reconcile, rules
 from reviewlab.plans.compare import training_rows
 from reviewlab.plans.featurize import hashed_counts, tokens_of
@@ -99,8 +100,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Each document once, by the run of its delivery, with the score of a batch job.
     """
-    tokens = tokens_of(labelled_reviews(spark, sf_dir))
-    counted = hashed_counts(tokens)
+    counted = hashed_counts(tokens_of(labelled_reviews(spark, sf_dir)))
     rows = training_rows(counted.table).select("label", "features")
     path = fresh_path(spark, "model")
     PipelineModel([*counted.stages, models.LogisticRegressionAlone(maxIter=10).fit(rows)]).write().save(path)
@@ -259,4 +259,22 @@ def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (quality_rules, quarantined_lines, evolved_events, schema_conflicts, recoded_events, customer_history, orders_as_of, reconcile_lines, stream_scores, stream_windows, layered_orders)
+def tokenised_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders joined to customers by the tokens of both: tokens, what they stand for, and under a new key."""
+    number = lambda key: F.lpad(F.col(key).cast("string"), 9, "0")
+    people = table(spark, sf_dir, "customer").select(
+        tokens.protected(F.concat(F.lit("C-"), number("c_custkey")), "first key").alias("token")
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        tokens.protected(F.concat(F.lit("C-"), number("o_custkey")), "first key").alias("token")
+    )
+    counted = orders.groupBy("token").agg(F.count(F.lit(1)).alias("row_count"))
+    return people.join(counted, "token", "left").select(
+        "token",
+        F.coalesce("row_count", F.lit(0)).alias("row_count"),
+        tokens.revealed(F.col("token"), "first key").alias("customer"),
+        tokens.rotated(F.col("token"), "first key", "second key").alias("rotated"),
+    )
+
+
+QUERIES = (tokenised_orders, quality_rules, quarantined_lines, evolved_events, schema_conflicts, recoded_events, customer_history, orders_as_of, reconcile_lines, stream_scores, stream_windows, layered_orders)
