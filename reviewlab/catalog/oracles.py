@@ -344,7 +344,7 @@ def oracle_sql() -> dict[str, str]:
         "random_split": """
         select count(*) as row_count, count(distinct doc_id) as documents, 2::bigint as sides
         from labels""",
-        "lr_fit": "select i - 1 as dim, true as is_finite from range(251) r(i)",
+        "lr_fit": "select i - 1 as dim, true as is_optimum from range(251) r(i)",
         "cv_grid": """
         select max_iter::bigint as max_iter, true as plausible
         from (values (10), (15), (20)) v(max_iter)""",
@@ -352,7 +352,8 @@ def oracle_sql() -> dict[str, str]:
         + """
         select review_id, label, true as is_class from reviews join ranked using (sentiment)""",
         "compare_features": """
-        select 'LogisticRegression' as classifier_name, feature_name, true as plausible
+        select 'LogisticRegression' as classifier_name, feature_name, true as plausible,
+               case when feature_name <> 'W2VfeaturizedData' then true end as like_counts
         from (values ('HTFfeaturizedData'), ('TFIDFfeaturizedData'), ('W2VfeaturizedData'))
           v(feature_name)""",
         "file_scope": r"""

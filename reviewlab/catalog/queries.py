@@ -33,6 +33,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_ID = "run-of-the-catalog"
 REVIEW_TABLE_DDL = "review_id bigint, review string, sentiment string"
 PLACES = 6
+# A fit whose slopes, per standard deviation and row, are below this is an optimum.
+NO_SLOPE = 1e-3
 GERMAN_LETTERS = "äöüßÄÖÜ"
 GERMAN_WORDS = (r"ein(e|er|es)?", r"nicht", r"und", r"für", r"d(er|ie|as)\s+(sich|auch)")
 
@@ -446,13 +448,12 @@ def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lr_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The intercept as dimension -1, then one coefficient per bucket: each a finite number."""
+    """Whether the fit is an optimum: per bucket, and as -1 for the intercept, whether the slope is gone."""
     _, rows = _hashed_reviews(spark, sf_dir)
     train, _ = models.split_by_key(rows, "review_id")
     model = models.LogisticRegressionAlone().fit(train)
-    values = [(-1, model.intercept), *enumerate(model.coefficients.toArray().tolist())]
-    fitted = spark.createDataFrame(values, "dim bigint, value double")
-    return fitted.select("dim", (~F.isnan("value") & (F.abs("value") < float("inf"))).alias("is_finite"))
+    slopes = models.slopes(model, train)
+    return slopes.select("dim", (F.abs("slope") < NO_SLOPE).alias("is_optimum"))
 
 
 def _plausible(accuracy: str) -> Column:
@@ -467,11 +468,16 @@ def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lr_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every labelled review scored by a model of its training side."""
+    """Every labelled review scored by a model of its training side, and whether the class is the side of the plane."""
     _, rows = _hashed_reviews(spark, sf_dir)
     train, _ = models.split_by_key(rows, "review_id")
-    scored = models.LogisticRegressionAlone(maxIter=10).fit(train).transform(rows)
-    return scored.select("review_id", "label", F.col("prediction").isin(0.0, 1.0).alias("is_class"))
+    model = models.LogisticRegressionAlone(maxIter=10).fit(train)
+    weights = F.array(*[F.lit(float(w)) for w in model.coefficients.toArray()])
+    products = F.zip_with(vector_to_array("features"), weights, lambda x, w: x * w)
+    margin = F.aggregate(products, F.lit(float(model.intercept)), lambda total, x: total + x)
+    agrees = (F.abs(margin) < 1e-9) | ((margin > 0) == (F.col("prediction") == 1.0))
+    is_class = F.col("prediction").isin(0.0, 1.0) & agrees
+    return model.transform(rows).select("review_id", "label", is_class.alias("is_class"))
 
 
 def accuracy_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -490,10 +496,13 @@ def train_eval_htf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighting scales columns and fitting evens scales out, so hashed counts and TF-IDF are equally accurate."""
     tokens = tokens_of(labelled_reviews(spark, sf_dir))
     results = compare_feature_sets(tokens, word2vec=_in_parallel(spark))
+    counted = next(r.accuracy for r in results if r.feature_name == sinks.HASHED_COUNTS)
     found = models.result_rows(spark, results)
-    return found.select("classifier_name", "feature_name", _plausible("accuracy"))
+    like_counts = F.when(F.col("feature_name") != sinks.WORD_VECTORS, F.abs(F.col("accuracy") - counted) < 0.5)
+    return found.select("classifier_name", "feature_name", _plausible("accuracy"), like_counts.alias("like_counts"))
 
 
 # --- language scan -----------------------------------------------------------------------------
