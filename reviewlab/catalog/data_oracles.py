@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from reviewlab.operators.significance import thresholds
+
 # The changes of customers, by rule, as the query makes them.
 CHANGES = """
 c as (select c_custkey as n, c_mktsegment as s, c_nationkey as k from customer),
@@ -16,7 +18,67 @@ changes(custkey, moment, ord, removed, segment, nation) as (
 
 
 def oracle_sql() -> dict[str, str]:
+    times = " + ".join(f"(value >= {t})::int" for t in thresholds())
     return {
+        "subject_access": r"""
+with recursive said(tab, line, who, ends_here) as (
+  select 'customer', c_custkey::varchar, 'customer:' || c_custkey, false from customer
+  union select 'orders', o_orderkey::varchar, 'customer:' || o_custkey, false from orders
+  union select 'orders', o_orderkey::varchar, 'order:' || o_orderkey, false from orders
+  union select 'lineitem', l_orderkey || '/' || l_linenumber, 'order:' || l_orderkey, false from lineitem
+  union select 'events', event_id::varchar, 'customer:' || user_id, false from events
+  union select 'documents', doc_id::varchar, 'mail:' || lower(m), false
+    from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+')) as m from documents)
+  union select 'documents', doc_id::varchar, 'phone:' || regexp_replace(m, '[^0-9+]', '', 'g'), false
+    from (select doc_id, unnest(regexp_extract_all(text, '\+[0-9][0-9 ()-]{7,}[0-9]')) as m from documents)),
+linked as (select tab, line, who from said where (tab, line) in (select (tab, line) from said group by tab, line having count(*) > 1)),
+edges as (
+  select a.who as one, b.who as other, min(a.tab || ':' || a.line) as via
+  from linked a join linked b on a.tab = b.tab and a.line = b.line and a.who <> b.who group by 1, 2),
+walk(request, who, depth, path, seen) as (
+  select distinct who, who, 0, who, [who] from said where who like 'customer:%' or who like 'mail:%'
+  union all
+  select request, other, depth + 1, path || ' > ' || via || ' > ' || other, list_append(seen, other)
+  from walk join edges on one = who where not list_contains(seen, other)),
+reached as (select request, who, arg_min(path, (depth, path)) as path, min(depth) as depth from walk group by 1, 2),
+nearest as (
+  select request, tab, line, min((depth, path || ' > ' || tab || ':' || line)) as n
+  from said join reached using (who) group by 1, 2, 3)
+select request, tab as "table", count(*) as row_count, min(n[1])::bigint as nearest, max(n[1])::bigint as furthest,
+  min(n[2]) as first_path, max(n[2]) as last_path
+from nearest group by 1, 2""",
+        "erased_orders": """
+with p as (
+  select c_custkey as custkey, (c_acctbal < -900)::int as poor, (c_nationkey = 7 and c_mktsegment = 'BUILDING')::int as nation from customer),
+o as (select o_custkey as custkey, count(*) as n, count(*) filter (o_orderkey % 10 = 0) as tenth from orders group by 1)
+select custkey, case when poor + nation = 0 then coalesce(n, 0) else 0 end as kept,
+  case when poor + nation = 0 then coalesce(tenth, 0) else 0 end as arrived,
+  case when poor + nation > 0 then coalesce(n, 0) else 0 end as removed, (poor + nation)::bigint as runs
+from p left join o using (custkey)""",
+        "classifier_intervals": f"""
+with j as (
+  select doc_id as key, (quality = 1 - toxic)::int as a, (quality = (n_chars >= 300)::int)::int as b
+  from documents join labels using (doc_id)),
+d as (
+  select a, b, r.i as replicate,
+    ('0x' || substr(md5('11:' || (r.i // 4) || ':' || key), (r.i % 4 * 8 + 1)::int, 8))::bigint as value
+  from j, range(200) r(i)),
+t as (select a, b, replicate, {times} as times from d),
+shares as (
+  select replicate, sum(a * times) * 100 / sum(times) as polite, sum(b * times) * 100 / sum(times) as long,
+    (sum(a * times) - sum(b * times)) * 100 / sum(times) as difference
+  from t group by replicate having sum(times) > 0),
+v as (unpivot shares on polite, long, difference into name measure value share),
+lists as (select measure, list(share order by share) as v from v group by measure),
+seen as (
+  select count(*) as n, sum(a) * 100 / count(*) as polite, sum(b) * 100 / count(*) as long, (sum(a) - sum(b)) * 100 / count(*) as difference,
+    count(*) filter (a > b) as x, count(*) filter (b > a) as y from j),
+s as (unpivot seen on polite, long, difference into name measure value value)
+select measure, round(value, 6) as value, round(v[1 + (len(v) * 5 // 200)], 6) as low, round(v[len(v) - (len(v) * 5 // 200)], 6) as high,
+  case when measure = 'difference' then round(len(list_filter(v, lambda e: e * sign(value) <= 0)) / len(v), 6) end as opposite,
+  case when measure = 'difference' and x + y > 0 then round(greatest(abs(x - y) - 1, 0) * greatest(abs(x - y) - 1, 0) / (x + y), 6) end as mcnemar,
+  n as row_count
+from s join lists using (measure)""",
         "tokenised_orders": """
 with recursive k(name, secret) as (select n, sha256(n) from (values ('first key'), ('second key')) v(n)),
 walk(custkey, name, secret, i, a, b) as (

@@ -12,8 +12,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlab.config import under
 from reviewlab.functions import tokens
-from reviewlab.operators import deltas, history, models, reconcile, rules
+from reviewlab.operators import deltas, erasure, history, models, reconcile, rules, significance, subjects
 from reviewlab.plans.compare import training_rows
 from reviewlab.plans.featurize import hashed_counts, tokens_of
 from reviewlab.scratch import fresh_path, stage
@@ -22,6 +23,7 @@ from reviewlab.sources.tables import labelled_reviews, table
 from reviewlab.streaming import scoring
 
 ATTRIBUTES = ("segment", "nation")
+PLACES = 6
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,4 +279,77 @@ def tokenised_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (tokenised_orders, quality_rules, quarantined_lines, evolved_events, schema_conflicts, recoded_events, customer_history, orders_as_of, reconcile_lines, stream_scores, stream_windows, layered_orders)
+# Who may be named where; a line names its order only, and a nation or a shop nobody.
+SUBJECT_SOURCES = (
+    subjects.Source("customer", ("c_custkey",), (subjects.InColumn("customer", "c_custkey"),)),
+    subjects.Source(
+        "orders", ("o_orderkey",), (subjects.InColumn("customer", "o_custkey"), subjects.InColumn("order", "o_orderkey"))
+    ),
+    subjects.Source("lineitem", ("l_orderkey", "l_linenumber"), (subjects.InColumn("order", "l_orderkey"),)),
+    subjects.Source("events", ("event_id",), (subjects.InColumn("customer", "user_id"),)),
+    subjects.Source(
+        "documents",
+        ("doc_id",),
+        (
+            subjects.InText("mail", "text", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", fold=True),
+            subjects.InText("phone", "text", r"\+[0-9][0-9 ()-]{7,}[0-9]", drop="[^0-9+]"),
+        ),
+    ),
+)
+
+
+def subject_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is held about every customer and every e-mail address in the texts, by table."""
+    tables = {s.table: table(spark, sf_dir, s.table) for s in SUBJECT_SOURCES}
+    said = stage(subjects.mentions(tables, SUBJECT_SOURCES), "mentions")
+    name = F.concat_ws(":", "kind", "identifier").alias("request")
+    asked = said.where(F.col("kind").isin("customer", "mail")).select(name, "kind", "identifier")
+    rows = subjects.rows_of(said, subjects.closure(said, asked))
+    return rows.groupBy("request", "table").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.min("depth").cast("long").alias("nearest"),
+        F.max("depth").cast("long").alias("furthest"),
+        F.min("path").alias("first_path"),
+        F.max("path").alias("last_path"),
+    )
+
+
+def erased_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in files by customer, two runs of erasure, and orders that arrive again: by customer."""
+    path, log = fresh_path(spark, "orders"), fresh_path(spark, "erasure-log")
+    orders = table(spark, sf_dir, "orders")
+    orders.repartitionByRange("o_custkey").write.parquet(path)
+    customer = table(spark, sf_dir, "customer")
+    runs = {"poor": "c_acctbal < -900", "one nation": "c_nationkey = 7 and c_mktsegment = 'BUILDING'"}
+    for run, where in runs.items():
+        erasure.erase(spark, path, "o_custkey", customer.where(where).select("c_custkey"), log, run, salt="salt")
+    stones = erasure.tombstones(spark, log)
+    again = erasure.without_erased(orders.where("o_orderkey % 10 = 0"), "o_custkey", stones, salt="salt")
+    removed = spark.read.parquet(under(log, "removed")).groupBy("subject").agg(F.sum("rows_removed").alias("removed"))
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("o_custkey").agg(F.count(F.lit(1)).alias(name)).withColumnRenamed("o_custkey", "custkey")
+
+    people = customer.select(F.col("c_custkey").alias("custkey"), erasure.digest(F.col("c_custkey"), "salt").alias("subject"))
+    told = stones.groupBy("subject").agg(F.count(F.lit(1)).alias("runs"))
+    every = (
+        people.join(counted(erasure.read(spark, path), "kept"), "custkey", "left")
+        .join(counted(again, "arrived"), "custkey", "left")
+        .join(removed, "subject", "left")
+        .join(told, "subject", "left")
+    )
+    return every.select("custkey", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("kept", "arrived", "removed", "runs")])
+
+
+def classifier_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rules that judge labelled texts by their look: accuracies with intervals, and their difference."""
+    documents = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    judged = documents.select(
+        F.col("doc_id").alias("key"),
+        (F.col("quality") == 1 - F.col("toxic")).alias("polite"),
+        (F.col("quality") == (F.col("n_chars") >= 300).cast("int")).alias("long"),
+    )
+    return significance.compared(judged, "key", "polite", "long", replicates=200, places=PLACES)
+
+
+QUERIES = (subject_access, erased_orders, classifier_intervals, tokenised_orders, quality_rules, quarantined_lines, evolved_events, schema_conflicts, recoded_events, customer_history, orders_as_of, reconcile_lines, stream_scores, stream_windows, layered_orders)
