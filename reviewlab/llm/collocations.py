@@ -80,7 +80,7 @@ class Bag:
 
     def __init__(self, lang: str):
         name = np.frombuffer(lang.encode(), np.uint8)
-        self.seed = span_hashes(name, np.array([0]), np.array([len(name)]))[0]
+        self.seed = span_hashes(name, np.array([0]), np.array([len(name)]))
         self.numbers: list[np.ndarray] = []
         self.spans: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
@@ -92,7 +92,8 @@ class Bag:
                 broken = broken or bool(IS_SEPARATOR[part].any())
                 continue
             lower = LOWER[part]
-            h = np.maximum(mix(span_hashes(lower, starts, ends) ^ self.seed), np.uint64(1))
+            # Language first: a word that is the name of a language is no other word in that language.
+            h = np.maximum(joined(self.seed, span_hashes(lower, starts, ends)), np.uint64(1))
             seen = np.cumsum(IS_SEPARATOR[part])[starts]
             new = np.append(broken or seen[0] > 0, seen[1:] != seen[:-1])
             numbers = np.zeros(len(h) + int(new.sum()), np.uint64)

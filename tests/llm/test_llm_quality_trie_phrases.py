@@ -297,3 +297,11 @@ def test_best_first_leaves_frequent_words_alone(spark, monkeypatch):
     assert sorted(tuple(r) for r in found) == plain_phrases(rows, 3, 5, 2)
     words = {(lang or "und", w) for t, lang in rows for w in re.findall("[^\x20\x09.,;:!?\x0a-\x0d]+", (t or "").lower())}
     assert sum(expanded) < len(words)
+
+
+def test_words_that_are_names_of_languages_are_words_like_others(spark):
+    texts = ["de en es. en de und", "es de en, und und de", "de de en en es es", "en es; de es und"]
+    rows = [(t, lang) for lang in ("de", "en", "es", None) for t in texts]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    found = collocations.mined(docs, least=1, top=50).collect()
+    assert sorted(tuple(r) for r in found) == plain_phrases(rows, 1, 5, 50)
