@@ -23,6 +23,10 @@ left goes. The table is a folder of files without partition folders.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,9 +48,13 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).parquet(path)
 
 
+def _place(subject: Column, i: int, bitmaps: int) -> Column:
+    return F.pmod(F.xxhash64(subject, F.lit(i)), F.lit(bitmaps * BITMAP_BITS))
+
+
 def _bits(subject: Column, bitmaps: int) -> Column:
     """The places of a subject's bits: bitmap, and bit in it."""
-    places = [F.pmod(F.xxhash64(subject, F.lit(i)), F.lit(bitmaps * BITMAP_BITS)) for i in range(HASHES)]
+    places = [_place(subject, i, bitmaps) for i in range(HASHES)]
     return F.array(
         *[
             F.struct(F.lit(i).alias("hash"), F.floor(p / BITMAP_BITS).cast("int").alias("bitmap"), (p % BITMAP_BITS).cast("long").alias("bit"))
@@ -56,12 +64,42 @@ def _bits(subject: Column, bitmaps: int) -> Column:
 
 
 def file_index(rows: DataFrame, subject: str, bitmaps: int = BITMAPS) -> DataFrame:
-    """``file, bitmap, bits``: at most ``bitmaps`` times 4 KB per file, whatever its rows."""
+    """``file, bitmap, bits``: at most ``bitmaps`` times 4 KB per file, whatever its rows.
+
+    Bits are set while a file is read, in one table of that size per task, so no row is sorted;
+    parts of a file that several tasks read are put together.
+    """
     value = F.col(subject).cast("string")
-    placed = rows.where(value.isNotNull()).select(
-        F.col("_metadata.file_path").alias("file"), F.explode(_bits(value, bitmaps)).alias("p")
-    )
-    return placed.groupBy("file", F.col("p.bitmap").alias("bitmap")).agg(F.bitmap_construct_agg(F.col("p.bit")).alias("bits"))
+    places = [_place(value, i, bitmaps) for i in range(HASHES)]
+    placed = rows.where(value.isNotNull()).select(F.col("_metadata.file_path").alias("file"), *[p.alias(f"p{i}") for i, p in enumerate(places)])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, table = None, np.zeros(bitmaps * BITMAP_BITS, bool)
+        for batch in batches:
+            names = batch.column(0).dictionary_encode()
+            of = names.indices.to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for start, end in zip(edges, edges[1:]):
+                if start == end:
+                    continue
+                file = names.dictionary[int(of[start])].as_py()
+                if current is not None and file != current:
+                    yield filled(current, table)
+                    table[:] = False
+                current = file
+                for column in batch.columns[1:]:
+                    table[column.slice(start, end - start).to_numpy()] = True
+        if current is not None:
+            yield filled(current, table)
+
+    def filled(file: str, table: np.ndarray) -> pa.RecordBatch:
+        bits = np.packbits(table.reshape(bitmaps, -1), axis=1, bitorder="little")
+        (used,) = np.nonzero(bits.any(axis=1))
+        columns = [pa.array([file] * len(used)), pa.array(used, pa.int32()), pa.array([bits[i].tobytes() for i in used], pa.binary())]
+        return pa.record_batch(columns, ["file", "bitmap", "bits"])
+
+    parts = placed.mapInArrow(work, "file string, bitmap int, bits binary")
+    return parts.groupBy("file", "bitmap").agg(F.bitmap_or_agg("bits").alias("bits"))
 
 
 def suspects(index: DataFrame, subjects: DataFrame, bitmaps: int = BITMAPS) -> DataFrame:

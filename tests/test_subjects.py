@@ -10,6 +10,8 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from reviewlab.operators import erasure, subjects
 from reviewlab.operators.subjects import InColumn, InText, Source
 
@@ -190,3 +192,15 @@ def test_filters_rule_out_most_files_and_none_that_hold_a_subject(spark, stored)
         read = erasure.read(spark, stored).where(f"who = {who}").select("_metadata.file_path").distinct()
         holds = {r["file_path"] for r in read.collect()}
         assert holds <= found and len(found) <= len(holds) + 1
+
+
+def test_file_index_is_built_without_sorting_rows(spark, stored):
+    index = erasure.file_index(erasure.read(spark, stored), "who", 3)
+    value = F.col("who").cast("string")
+    rows = erasure.read(spark, stored).where(value.isNotNull())
+    placed = rows.select(F.col("_metadata.file_path").alias("file"), F.explode(erasure._bits(value, 3)).alias("p"))
+    plain = placed.groupBy("file", F.col("p.bitmap").alias("bitmap")).agg(F.bitmap_construct_agg(F.col("p.bit")).alias("bits"))
+    assert sorted(map(tuple, index.collect())) == sorted(map(tuple, plain.collect()))
+    # Rows meet no sort or exchange on their way to the bits.
+    plan = index._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan and "MapInArrow" in plan
