@@ -7,20 +7,24 @@ next among lines still free, ties to smaller ids. Rounds of mutual best choices
 exactly that, all keys at once: a pair that is the best for both its lines can't be
 outdone by another one.
 
-The band join is an equi-join on keys and a bucket of days as wide as the band; a line of
-one side looks into its own bucket and both neighbours. Lines without a key, day or amount
+The band join is an equi-join on keys and a bucket of days, some times as wide as the band; a
+line of one side looks into the buckets that its band touches, mostly one. Lines without a key, day or amount
 are matched with nothing. Ids are unique in each report.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.scratch import discard, stage
 
+# Bands in a bucket: with more, fewer lines look into two, and more pairs are tried.
+BANDS = 4
+
 
 def candidates(left: DataFrame, right: DataFrame, keys: Sequence[str], *, days: int, share: float) -> DataFrame:
     """``left_id, right_id, day_gap, amount_gap, residual`` of all pairs within the tolerance."""
@@ -32,9 +36,9 @@ def candidates(left: DataFrame, right: DataFrame, keys: Sequence[str], *, days:
         )
 
     width = days + 1
-    bucket = F.floor(F.col("left_day") / width)
-    ours = side(left, "left").withColumn("bucket", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
-    theirs = side(right, "right").withColumn("bucket", F.floor(F.col("right_day") / width))
+    first, last = (F.floor((F.col("left_day") + gap) / (BANDS * width)) for gap in (-days, days))
+    ours = side(left, "left").withColumn("bucket", F.explode(F.sequence(first, last)))
+    theirs = side(right, "right").withColumn("bucket", F.floor(F.col("right_day") / (BANDS * width)))
     day_gap = F.col("right_day") - F.col("left_day")
     amount_gap = F.col("right_amount") - F.col("left_amount")
     largest = F.greatest(F.abs("left_amount"), F.abs("right_amount"))
@@ -53,7 +57,8 @@ def candidates(left: DataFrame, right: DataFrame, keys: Sequence[str], *, days:
 def assigned(pairs: DataFrame) -> DataFrame:
     """The pairs that are matched, one to one."""
     best = F.struct("residual", "left_id", "right_id")
-    free, found = stage(pairs, "pairs"), None
+    every = free = stage(pairs, "pairs")
+    rounds = []
     while not free.isEmpty():
         # Summed up before the exchange, so a line with very many partners is a row per task.
         by_left = free.groupBy("left_id").agg(F.min(best).alias("left_best"))
@@ -62,13 +67,18 @@ def assigned(pairs: DataFrame) -> DataFrame:
             F.col("left_best.left_id").alias("left_id"), F.col("left_best.right_id").alias("right_id")
         )
         mutual = stage(mutual, "mutual")
-        chosen = mutual.join(free, ["left_id", "right_id"])
-        both = stage(chosen if found is None else found.unionByName(chosen), "matched")
+        rounds.append(mutual)
         rest = free.join(mutual.select("left_id"), "left_id", "left_anti")
         rest = stage(rest.join(mutual.select("right_id"), "right_id", "left_anti"), "pairs")
-        discard(free, mutual, *([found] if found is not None else []))
-        free, found = rest, both
-    return found if found is not None else free
+        if free is not every:
+            discard(free)
+        free = rest
+    if not rounds:
+        return every
+    # What was chosen in any round gets its gaps once, at the end.
+    found = stage(reduce(DataFrame.unionByName, rounds).join(every, ["left_id", "right_id"]), "matched")
+    discard(every, free, *rounds)
+    return found
 
 
 def reconciled(left: DataFrame, right: DataFrame, keys: Sequence[str], *, days: int, share: float) -> DataFrame:

@@ -202,3 +202,27 @@ def test_a_killed_batch_is_written_once(spark, tmp_path):
     found = spark.read.parquet(sink).collect()
     assert died == [1] and Counter(r.id for r in found) == Counter(range(60))
     assert all(r.score == len(r.text) for r in found)
+
+
+def test_lines_look_into_few_buckets_and_matches_are_stored_once(spark, monkeypatch):
+    stored, real = [], reconcile.stage
+    monkeypatch.setattr(reconcile, "stage", lambda df, name: stored.append(name) or real(df, name))
+    # A chain: each line's best partner is taken by the one before, so there are many rounds.
+    days = "id string, k int, amount double, d int"
+    left = spark.createDataFrame([("a0", 1, 1000.0, 0), ("a1", 1, 1009.0, 0), ("a2", 1, 1014.0, 0)], days)
+    right = spark.createDataFrame([("b0", 1, 1005.0, 0), ("b1", 1, 1012.0, 0), ("b2", 1, 1015.0, 0)], days)
+    day = F.date_add(F.lit("2020-01-01").cast("date"), F.col("d")).alias("day")
+    left, right = (x.select("id", "k", "amount", day) for x in (left, right))
+    found = reconcile.reconciled(left, right, ["k"], days=3, share=0.02).where("status <> 'left_only' and status <> 'right_only'")
+    assert {(r["left_id"], r["right_id"]) for r in found.collect()} == {("a0", "b0"), ("a1", "b1"), ("a2", "b2")}
+    assert stored.count("mutual") == 3 and stored.count("matched") == 1
+    many = spark.range(1000).select(
+        F.concat(F.lit("a"), "id").alias("id"), F.lit(1).alias("k"), F.col("id").cast("double").alias("amount"),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("day"),
+    )
+    looked = []
+    explode = F.explode
+    monkeypatch.setattr(reconcile.F, "explode", lambda c: looked.append(c) or explode(c))
+    reconcile.candidates(many, many, ["k"], days=3, share=0.02)
+    side = many.select(F.datediff("day", F.lit("1970-01-01").cast("date")).alias("left_day"))
+    assert side.select(F.size(looked[0]).alias("n")).agg(F.avg("n")).first()[0] < 1.5
