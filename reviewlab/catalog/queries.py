@@ -235,7 +235,7 @@ def job_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fresh_path(spark, "reviews-csv")
     delimited.write_reviews(labelled_reviews(spark, sf_dir).select("review", "sentiment"), f"{raw}/dataset.csv")
     config = RunConfig(raw, fresh_path(spark, "output"), RUN_ID, persist=True)
-    code = job.run(spark, config, multi_line=True)
+    code = job.run(spark, config, multi_line=True, word2vec=_in_parallel(spark))
     found = audit.read_audit(spark, config.audit_path)
     return found.select("event", "subject", F.when(F.col("event") != "accuracy", F.col("value")).alias("value")).withColumn(
         "exit_code", F.lit(code).cast("bigint")
