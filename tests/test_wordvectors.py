@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from reviewlab.catalog import queries
 from reviewlab.operators import features
 
 SEA = ["wave", "shore", "sail", "tide"]
@@ -62,3 +63,12 @@ def test_every_row_gets_the_mean_of_its_words_in_any_number_of_parts(spark, text
 def test_no_words_to_learn_is_refused(texts):
     with pytest.raises(ValueError, match="no word occurs"):
         features.fit_word2vec(texts.select(F.col("filtered")), min_count=100_000)
+
+
+def test_query_counts_no_words_where_the_text_is_null(spark, tmp_path):
+    rows = [(1, "tide wave " * 10), (2, None), (3, "tide")]
+    spark.createDataFrame([(i, t, "en", "made", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    found = {r["doc_id"]: tuple(r)[1:] for r in queries.w2v_doc_vectors(spark, str(tmp_path)).collect()}
+    assert found == {1: (20, 20, True), 2: (0, 0, True), 3: (1, 1, True)}
