@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlab.catalog import queries
-from reviewlab.operators import features
+from reviewlab.operators import features, wordvectors
 
 SEA = ["wave", "shore", "sail", "tide"]
 HILL = ["rock", "ridge", "slope", "cliff"]
@@ -27,7 +27,8 @@ def found(model) -> dict[str, np.ndarray]:  # noqa: ANN001
 
 
 @pytest.mark.parametrize("tasks", [1, 3])
-def test_words_of_one_topic_are_near(texts, tasks):
+def test_words_of_one_topic_are_near(texts, tasks, monkeypatch):
+    monkeypatch.setattr(wordvectors, "LEAST_WORDS", 100)
     vectors = found(features.fit_word2vec(texts, vector_size=16, tasks=tasks))
 
     def near(a: str, b: str) -> float:
@@ -45,9 +46,8 @@ def test_vectors_are_read_from_files_and_not_held_by_the_driver(texts):
 
 
 def test_every_row_gets_the_mean_of_its_words_in_any_number_of_parts(spark, texts, monkeypatch):
-    from reviewlab.operators import wordvectors
-
     monkeypatch.setattr(wordvectors, "MEAN_WORDS", 700)
+    monkeypatch.setattr(wordvectors, "LEAST_WORDS", 100)
     odd = spark.createDataFrame([(-1, None), (-2, []), (-3, ["unseen"]), (-4, ["tide", "unseen"])], texts.schema)
     rows = texts.unionByName(odd).unionByName(texts.where("i < 3"))
     model = features.fit_word2vec(texts, vector_size=4, tasks=2)
