@@ -72,3 +72,21 @@ def test_query_counts_no_words_where_the_text_is_null(spark, tmp_path):
     )
     found = {r["doc_id"]: tuple(r)[1:] for r in queries.w2v_doc_vectors(spark, str(tmp_path)).collect()}
     assert found == {1: (20, 20, True), 2: (0, 0, True), 3: (1, 1, True)}
+
+
+@pytest.mark.parametrize("few", [1, 3, 8])
+def test_gradients_of_one_row_are_added_together_however_many_there_are(few, monkeypatch):
+    monkeypatch.setattr(wordvectors, "FEW", few)
+    drawn = np.random.default_rng(5)
+    # Rows of the matrix with none, one, a few and very many gradients.
+    places = np.concatenate([np.full(60, 2), drawn.integers(3, 30, 90), [31, 32]])
+    places = drawn.permutation(places)
+    gradients = drawn.normal(size=(len(places), 7)).astype(np.float32)
+    start = drawn.normal(size=(40, 7)).astype(np.float32)
+    matrix, seen = start.copy(), np.ones(40, np.float32)
+    wordvectors._ascend(matrix, seen, places, gradients)
+    summed = np.zeros((40, 7))
+    np.add.at(summed, places, gradients.astype(np.float64))
+    want = 1 + (summed**2).mean(axis=1)
+    assert seen == pytest.approx(want, rel=1e-5)
+    assert matrix == pytest.approx(start + summed * (wordvectors.RATE / np.sqrt(want))[:, None], rel=1e-4, abs=1e-6)
