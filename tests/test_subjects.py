@@ -99,6 +99,28 @@ def test_no_rows_and_no_requests(spark):
     assert subjects.rows_of(said, subjects.closure(said, none)).isEmpty()
 
 
+@pytest.mark.parametrize("numbers", [True, False])
+def test_rows_are_marked_by_how_many_identifiers_they_have(spark, numbers):
+    """Repeated rows of one key are one row, with null keys and with keys that are texts, too."""
+    kind = "long" if numbers else "string"
+    put = (lambda v: v) if numbers else (lambda v: None if v is None else str(v))
+    tables = {
+        "lines": spark.createDataFrame([(put(o), put(n)) for o, n in [(1, 1), (1, 1), (1, 2), (2, None), (None, 3)]], f"o {kind}, n {kind}"),
+        "visits": spark.createDataFrame([(put(i), put(o)) for i, o in [(1, 1), (1, 2), (2, 2), (2, 2), (3, None), (None, 1)]], f"i {kind}, o {kind}"),
+    }
+    sources = (Source("lines", ("o", "n"), (InColumn("order", "o"),)), Source("visits", ("i",), (InColumn("order", "o"),)))
+    want = {
+        ("lines", "1/1", "1", False), ("lines", "1/2", "1", False), ("lines", "2/", "2", False),
+        ("visits", "1", "1", True), ("visits", "1", "2", True), ("visits", "2", "2", False), ("visits", "", "1", False),
+    }
+    said = subjects.mentions(tables, sources, mark=True)
+    assert sorted(tuple(r) for r in said.select("table", "row", "identifier", "several").collect()) == sorted(want)
+    plain = subjects.mentions(tables, sources)
+    requests = spark.createDataFrame([("a", "order", "1"), ("b", "order", "2")], "request string, kind string, identifier string")
+    told = [sorted(tuple(r) for r in subjects.rows_of(s, subjects.closure(s, requests)).collect()) for s in (said, plain)]
+    assert told[0] == told[1] and len(told[0]) == 12
+
+
 # --- erasure -----------------------------------------------------------------------------------
 
 ROWS = [(i, None if i % 17 == 0 else i // 10, f"text {i}") for i in range(400)] + [(7, 0, "text 7")]
