@@ -24,6 +24,7 @@ from reviewlab.streaming import scoring
 
 ATTRIBUTES = ("segment", "nation")
 PLACES = 6
+DELIVERY_FILES = 12
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +99,11 @@ def reconcile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("left_id", "right_id", "status", "day_gap", gap, F.round("residual", 6).alias("residual"))
 
 
+def deliver(rows: DataFrame, path: str) -> None:
+    """All rows in a bounded number of files: batches take files, and each batch costs all state partitions a commit."""
+    rows.coalesce(DELIVERY_FILES).write.parquet(path)
+
+
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that arrive in three deliveries, some of them twice, scored by a stored model.
 
@@ -116,7 +122,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.where("review_id is not null").select("review_id", "review", F.lit("positive").alias("sentiment"), at)
     for run in range(3):
         delivered = docs.where((n % 3 == run) | ((n % 3 < run) & (n % 5 == 0)))
-        delivered.write.parquet(f"{source}/run{run}")
+        deliver(delivered, f"{source}/run{run}")
         scoring.score_available(
             spark, source, docs.schema, model, sink, checkpoint, key="review_id", at="at", late="3650 days", files_per_batch=3
         )

@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from reviewlab.catalog import data_queries
 from reviewlab.operators import deltas, history, reconcile
 from reviewlab.streaming import scoring
 
@@ -226,3 +227,10 @@ def test_lines_look_into_few_buckets_and_matches_are_stored_once(spark, monkeypa
     reconcile.candidates(many, many, ["k"], days=3, share=0.02)
     side = many.select(F.datediff("day", F.lit("1970-01-01").cast("date")).alias("left_day"))
     assert side.select(F.size(looked[0]).alias("n")).agg(F.avg("n")).first()[0] < 1.5
+
+
+def test_a_delivery_has_a_bounded_number_of_files_and_all_rows(spark, tmp_path):
+    rows = spark.range(0, 500, 1, 40)
+    data_queries.deliver(rows.unionByName(rows.where("id < 7")), str(tmp_path / "run"))
+    assert len(list((tmp_path / "run").glob("part-*"))) <= data_queries.DELIVERY_FILES
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "run")).collect()) == sorted([*range(500), *range(7)])
