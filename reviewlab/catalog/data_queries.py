@@ -7,9 +7,10 @@ can make them, too.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab.config import under
@@ -17,7 +18,7 @@ from reviewlab.functions import tokens
 from reviewlab.operators import deltas, erasure, history, models, reconcile, rules, significance, subjects
 from reviewlab.plans.compare import training_rows
 from reviewlab.plans.featurize import hashed_counts, tokens_of
-from reviewlab.scratch import fresh_path, stage
+from reviewlab.scratch import discard, fresh_path, stage
 from reviewlab.sources import evolution
 from reviewlab.sources.tables import labelled_reviews, table
 from reviewlab.streaming import scoring
@@ -25,6 +26,8 @@ from reviewlab.streaming import scoring
 ATTRIBUTES = ("segment", "nation")
 PLACES = 6
 DELIVERY_FILES = 12
+# Lines that are reconciled at once, on average: bounds what their pairs take on disk.
+SLICE_LINES = 16_000_000
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,15 +79,54 @@ def orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _in_slices(lines: DataFrame, named: Column, parts: tuple[str, ...]) -> list[DataFrame]:
+    """Lines in groups without a part or an id in common, so each can be reconciled on its own.
+
+    An id is the name of a line, with ``parts`` of it left out where they are null. So lines of different
+    parts may have one name only if something is null; all lines of such parts are in one group.
+    """
+    n_slices = -(-lines.count() // SLICE_LINES)
+    if n_slices < 2:
+        return [lines]
+    part = F.col("l_partkey")
+    holes = lines.where(reduce(Column.__or__, (F.col(c).isNull() for c in parts))).select("l_partkey", named.alias("line"))
+    # A null part is a part of its own here.
+    key = F.coalesce(part.cast("string"), F.lit(""))
+    twice = holes.groupBy("line").agg(F.min(key).alias("one"), F.max(key).alias("other")).where("one <> other")
+    tied = stage(holes.join(twice, "line").select("l_partkey").distinct(), "tied")
+    slices = lines.withColumn("slice", F.pmod(F.xxhash64("l_partkey"), F.lit(n_slices)).cast("int"))
+    if not tied.isEmpty():
+        tied = tied.select(F.col("l_partkey").alias("tied"), F.lit(0).alias("zero"))
+        slices = slices.join(tied, part.eqNullSafe(F.col("tied")), "left").withColumn("slice", F.coalesce("zero", "slice")).drop("tied", "zero")
+    stored = stage(slices, "sliced", ["slice"], compression="zstd")
+    return [stored.where(F.col("slice") == i).drop("slice") for i in range(n_slices)]
+
+
 def reconcile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines against a second report of them: later days, rounded amounts, some lost, some added."""
     columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
     line = F.concat_ws("-", *columns[:4], F.date_format("l_shipdate", "yyyyMMdd"), F.col("l_quantity").cast("int"))
-    lines = table(spark, sf_dir, "lineitem").select(
-        line.alias("line"), "l_orderkey", F.col("l_partkey").alias("part"), F.col("l_shipdate").cast("date").alias("day"), F.col("l_extendedprice").alias("amount")
-    )
-    # Stored once: both reports are made from it.
-    lines = stage(lines.groupBy("line", "l_orderkey", "part", "day").agg(F.max("amount").alias("amount")), "lines")
+    given = table(spark, sf_dir, "lineitem").select(*columns)
+    found = []
+    for some in _in_slices(given, line, (*columns[:5], "l_quantity")):
+        lines = some.select(
+            line.alias("line"), "l_orderkey", F.col("l_partkey").alias("part"), F.col("l_shipdate").cast("date").alias("day"), F.col("l_extendedprice").alias("amount")
+        )
+        # Stored once: both reports are made from it.
+        lines = stage(lines.groupBy("line", "l_orderkey", "part", "day").agg(F.max("amount").alias("amount")), "lines", compression="zstd")
+        told = reconcile.reconciled(*_two_reports(lines), ["part"], days=3, share=0.02)
+        # Most lines are matched with themselves: their name is stored once.
+        same = F.col("left_id").eqNullSafe(F.col("right_id"))
+        gap = F.round("amount_gap", 2).alias("amount_gap")
+        slim = told.select("left_id", same.alias("same"), F.when(~same, F.col("right_id")).alias("right_id"), "status", "day_gap", gap, F.round("residual", 6).alias("residual"))
+        found.append(stage(slim, "reconciled", compression="zstd"))
+        discard(lines, *told.made_from)
+    every = spark.read.schema(found[0].schema).parquet(*(one.staged_at for one in found))
+    right = F.when(F.col("same"), F.col("left_id")).otherwise(F.col("right_id")).alias("right_id")
+    return every.select("left_id", right, "status", "day_gap", "amount_gap", "residual")
+
+
+def _two_reports(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     ours = lines.select(F.col("line").alias("id"), "part", "day", "amount")
     n = F.col("l_orderkey")
     shifted = F.date_add("day", (n % 4).cast("int"))
@@ -93,10 +135,7 @@ def reconcile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = lines.where(n % 13 == 0).select(
         F.concat("line", F.lit("-again")).alias("id"), "part", F.date_add("day", 1).alias("day"), F.col("amount")
     )
-    theirs = kept.unionByName(again)
-    found = reconcile.reconciled(ours, stage(theirs, "theirs"), ["part"], days=3, share=0.02)
-    gap = F.round("amount_gap", 2).alias("amount_gap")
-    return found.select("left_id", "right_id", "status", "day_gap", gap, F.round("residual", 6).alias("residual"))
+    return ours, kept.unionByName(again)
 
 
 def deliver(rows: DataFrame, path: str) -> None:

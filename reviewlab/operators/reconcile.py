@@ -98,4 +98,7 @@ def reconciled(left: DataFrame, right: DataFrame, keys: Sequence[str], *, days:
         columns |= {f"{name}_id": F.col(f"{name}_id"), "status": F.lit(f"{name}_only")}
         return own.select(*[c.alias(n) for n, c in columns.items()])
 
-    return matched.unionByName(alone(left, "left")).unionByName(alone(right, "right"))
+    told = matched.unionByName(alone(left, "left")).unionByName(alone(right, "right"))
+    # For callers that store the result and then ``discard`` what it was made from.
+    told.made_from = (pairs,)
+    return told

@@ -12,7 +12,7 @@ import shutil
 import tempfile
 import uuid
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import lru_cache
 from threading import Lock
@@ -92,11 +92,14 @@ def _cleaning(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(CLEANING, _before.pop(spark))
 
 
-def stage(df: DataFrame, name: str, **options: str | int) -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and read it back; ``options`` go to the writer."""
+def stage(df: DataFrame, name: str, by: Sequence[str] = (), **options: str | int) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and read it back; ``options`` go to the writer.
+
+    Columns of ``by`` become folders, so that rows with some of their values are read alone.
+    """
     path = fresh_path(df.sparkSession, name)
     with _cleaning(df.sparkSession):
-        df.write.options(**options).parquet(path)
+        df.write.options(**options).parquet(path, partitionBy=list(by) or None)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored.staged_at = path
     return stored

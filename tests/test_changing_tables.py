@@ -234,3 +234,22 @@ def test_a_delivery_has_a_bounded_number_of_files_and_all_rows(spark, tmp_path):
     data_queries.deliver(rows.unionByName(rows.where("id < 7")), str(tmp_path / "run"))
     assert len(list((tmp_path / "run").glob("part-*"))) <= data_queries.DELIVERY_FILES
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "run")).collect()) == sorted([*range(500), *range(7)])
+
+
+def test_lines_are_reconciled_in_slices_with_the_same_result(spark, tmp_path, monkeypatch):
+    rng = random.Random(6)
+    rows = []
+    for i in range(150):
+        part, supplier, date = rng.choice([1, 2, 3, 4, 5, None]), rng.choice([1, 2, 3, None]), datetime(1995, 1, 1 + rng.randrange(9))
+        rows.append((rng.randrange(1, 40), 1, part, supplier, date, rng.choice([1000.0, 1010.0, 990.0]), 1.0))
+    # One name of three lines with two parts: "1-1-2-19950101-1".
+    rows += [(1, 1, 2, None, datetime(1995, 1, 1), 1000.0, 1.0), (1, 1, None, 2, datetime(1995, 1, 1), 1000.0, 1.0), (1, None, 1, 2, datetime(1995, 1, 1), 1000.0, 1.0)]
+    columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double, l_quantity double"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    stored, real = [], data_queries.stage
+    monkeypatch.setattr(data_queries, "stage", lambda df, name, *a, **o: stored.append(name) or real(df, name, *a, **o))
+    whole = Counter(map(tuple, data_queries.reconcile_lines(spark, str(tmp_path)).collect()))
+    assert stored.count("reconciled") == 1 and "tied" not in stored
+    monkeypatch.setattr(data_queries, "SLICE_LINES", 50)
+    assert Counter(map(tuple, data_queries.reconcile_lines(spark, str(tmp_path)).collect())) == whole
+    assert stored.count("reconciled") == 5
